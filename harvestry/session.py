@@ -61,3 +61,9 @@ def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     would repeat their work and outgrow the limits of generated code.
     """
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """`df` in at least as many partitions as there are cores, for steps that compute much on each row."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
