@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import formatting, packing, tokens
+from . import formatting, packing, residue, survivors, tokens
 
-MODULES = [formatting, tokens, packing]
+MODULES = [residue, survivors, formatting, tokens, packing]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
