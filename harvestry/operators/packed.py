@@ -132,7 +132,7 @@ def _plain_end(text: str, at: int, compounds: list[tuple[str, str]]) -> tuple[in
 
 def one_reversed(values: list[str], text: str) -> bool:
     """Whether two values around one comma are one name written surname (or distinguishing part) first."""
-    if len(values) != 2 or text.count(",") != 1 or any(c in text for c in ";|/\t\n•·+&\""):
+    if len(values) != 2 or text.count(",") != 1 or re.search(r",\s*(?:" + "|".join(WORDS) + r")\s", text, re.I) or any(c in text for c in ";|/\t\n•·+&\""):
         return False
     left, right = (re.findall(r"[^\s_]+", v) for v in values)
     acronym = re.compile(r"^[A-Z]{3,6}$")
