@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import formatting, names, packing, residue, survivors, tokens
+from . import formatting, names, packing, private, residue, survivors, tokens
 
-MODULES = [residue, survivors, formatting, names, tokens, packing]
+MODULES = [residue, survivors, formatting, names, tokens, packing, private]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
