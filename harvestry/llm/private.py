@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -385,7 +386,7 @@ def redacted(df: DataFrame, key: str, text: str, field: Field | None = None) ->
     shared = df.sparkSession.sparkContext.broadcast(field or trained())
 
     @F.pandas_udf("string")
-    def replace(batches: Iterator) -> Iterator:
+    def replace(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             out = []
             for x in batch:
@@ -397,7 +398,7 @@ def redacted(df: DataFrame, key: str, text: str, field: Field | None = None) ->
                     parts += [x[at:a], f"[{kind}]"]
                     at = b
                 out.append("".join(parts) + x[at:])
-            yield type(batch)(out, dtype=object)
+            yield pd.Series(out, dtype=object)
 
     return spread(df.select(key, text)).select(key, replace(text).alias(text))
 
