@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import problems
+from . import index, problems
 
-MODULES = [problems]
+MODULES = [problems, index]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
