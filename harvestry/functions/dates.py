@@ -6,9 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _trimmed(text: Column) -> Column:
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s+|\s+$", "")
+
+
 def iso_like(raw: Column) -> Column:
     """Unquoted; `Y/M/D` and `Y.M.D` written with dashes and two digits; all else unchanged."""
-    s = F.regexp_replace(F.trim(F.coalesce(raw, F.lit(""))), "^[\"']+|[\"']+$", "")
+    s = F.regexp_replace(_trimmed(raw), "^[\"']+|[\"']+$", "")
     form = r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})"
     made = F.concat_ws("-", F.regexp_extract(s, form, 1), F.lpad(F.regexp_extract(s, form, 2), 2, "0"), F.lpad(F.regexp_extract(s, form, 3), 2, "0"))
     return F.when(s.rlike(form), made).otherwise(s)
@@ -16,7 +20,7 @@ def iso_like(raw: Column) -> Column:
 
 def site_date(date: Column) -> Column:
     """8 and 14 digits as `YYYY-MM-DD`, 6 as `YYYY-MM`, all else trimmed."""
-    d = F.trim(F.coalesce(date, F.lit("")))
+    d = _trimmed(date)
     dashed = F.concat_ws("-", d.substr(1, 4), d.substr(5, 2), d.substr(7, 2))
     return F.when(d.rlike(r"^(?:\d{8}|\d{14})$"), dashed).when(d.rlike(r"^\d{6}$"), F.concat_ws("-", d.substr(1, 4), d.substr(5, 2))).otherwise(d)
 
@@ -50,7 +54,7 @@ def published(raw: Column) -> Column:
 
     Takes the forms of mail headers with a numeric or GMT zone and of ISO; GMT names no offset in the result.
     """
-    r = F.trim(F.coalesce(raw, F.lit("")))
+    r = _trimmed(raw)
     form = r"^(?:[A-Za-z]{3},?\s+)?(\d{1,2}) ([A-Za-z]{3}) (\d{4}) (\d{2}:\d{2}:\d{2}) ([+-]\d{4}|GMT)$"
     month = F.lpad(F.ceil(F.instr(F.lit("JanFebMarAprMayJunJulAugSepOctNovDec"), F.regexp_extract(r, form, 2)) / 3).cast("string"), 2, "0")
     zone = F.regexp_extract(r, form, 5)

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import index, problems
+from . import index, problems, values
 
-MODULES = [problems, index]
+MODULES = [problems, index, values]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
