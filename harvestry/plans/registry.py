@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import index, problems, values
+from . import index, problems, site, values
 
-MODULES = [problems, index, values]
+MODULES = [problems, index, values, site]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
