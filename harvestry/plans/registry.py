@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import index, problems, site, values
+from . import formats, index, problems, site, values
 
-MODULES = [problems, index, values, site]
+MODULES = [problems, index, values, site, formats]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
