@@ -11,7 +11,7 @@ BLANK = r"[\s\u0085  ᠎ -‍    ⁠　﻿]"
 
 def strip_blank(text: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")
+    return F.regexp_replace(text, f"^{BLANK}+|(?<!{BLANK}){BLANK}+$", "")
 
 
 def letters_and_digits(text: Column) -> Column:
