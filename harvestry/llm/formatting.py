@@ -148,7 +148,8 @@ def collapse_spellings(df: DataFrame, key: Column, order: str) -> DataFrame:
 
 def hidden_copies(df: DataFrame, key: Column, order: str) -> DataFrame:
     """(first_`order`, `order`) of each record that repeats another apart from formatting; see `collapse_spellings`."""
-    rows = computed(df, {"spelling": key}).select("spelling", order).filter(F.col("spelling").isNotNull())
+    name = free_name(df, "spelling")
+    rows = computed(df, {name: key}).select(F.col(name).alias("spelling"), order).filter(F.col("spelling").isNotNull())
     total = df.count()
     possible, _ = _split(rows, "spelling", total)
     groups = possible.groupBy("spelling").agg(F.min(order).alias(f"first_{order}"), F.count("*").alias("copies")).filter("copies > 1")
