@@ -135,9 +135,9 @@ def one_reversed(values: list[str], text: str) -> bool:
     if len(values) != 2 or text.count(",") != 1 or re.search(r",\s*(?:" + "|".join(WORDS) + r")\s", text, re.I) or any(c in text for c in ";|/\t\n•·+&\""):
         return False
     left, right = (re.findall(r"[^\s_]+", v) for v in values)
-    acronym = re.compile(r"^[A-Z]{3,6}$")
     if len(right) == 1:
-        return not (len(left) >= 2 and acronym.match(right[0]) and not values[0].isupper())
+        acronym = re.match(r"[A-Z]{3,4}$" if values[0].isupper() else r"[A-Z]{3,6}$", right[0])
+        return not (len(left) >= 2 and acronym)
     return len(left) == 1 and len(right) == 2 and (len(right[1].rstrip(".")) == 1)
 
 

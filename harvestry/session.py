@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,9 @@ from pyspark.sql import functions as F
 
 def build_session(master: str | None = None, partitions: int | None = None, **conf: str) -> SparkSession:
     """A session with UTC clocks and adaptive execution; other settings come from `conf`."""
+    root = str(Path(__file__).resolve().parent.parent)
+    if root not in os.environ.get("PYTHONPATH", "").split(os.pathsep):  # Python workers need this package too
+        os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [root, os.environ.get("PYTHONPATH")]))
     builder = SparkSession.builder.appName("harvestry")
     if master:
         builder = builder.master(master)

@@ -26,6 +26,8 @@ CASES = {
     "Data Cooperative, K": ["Data Cooperative, K"],
     "Catherine Bo, HFES": ["Catherine Bo", "HFES"],
     "GREGORY I, and PRA": ["GREGORY I", "PRA"],
+    "DEBORAH U,CUPL": ["DEBORAH U", "CUPL"],
+    "DATA COOPERATIVE, BOUABAYO": ["DATA COOPERATIVE, BOUABAYO"],
     "A B (C, D), E F": ["A B (C, D)", "E F"],
     '"unbalanced, A B': ['"unbalanced', "A B"],
     None: [],
