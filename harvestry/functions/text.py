@@ -25,8 +25,7 @@ def spelling_key(text: Column) -> Column:
     The part before the first `?` keeps letters and digits; the parameters, split at `&`, keep theirs and are
     sorted. A string with no letter or digit gives '' and null gives null.
     """
-    head = letters_and_digits(F.substring_index(text, "?", 1))
     query = F.regexp_extract(text, r"(?s)^[^?]*\?(.*)$", 1)
     parts = F.filter(F.transform(F.split(query, "[&?]"), letters_and_digits), lambda p: p != "")
-    joined = F.array_join(F.array_sort(parts), "&")
-    return F.when(~F.contains(text, F.lit("?")) | (joined == ""), head).otherwise(F.concat(head, F.lit("?"), joined))
+    joined = F.when(F.contains(text, F.lit("?")), F.array_join(F.array_sort(parts), "&"))
+    return F.when(text.isNotNull(), F.concat_ws("?", letters_and_digits(F.substring_index(text, "?", 1)), F.nullif(joined, F.lit(""))))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -14,6 +15,11 @@ _PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#
 TRACKING = r"utm_.*|fbclid|gclid|msclkid|mc_cid|mc_eid|_ga|igshid|at_.*|__twitter_impression|ref|ref_src|ref_url|xid|cmpid"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of `value`, which is computed once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def part(url: Column, n: int) -> Column:
     return F.regexp_extract(url, _PARTS, n)
 
@@ -62,10 +68,9 @@ def trimmed_path(url: Column) -> Column:
 
 def canonical_key(url: Column) -> Column:
     """What the spellings of one page's address share: host and path with the kept parameters; '' for a blank address."""
-    clean = strip_blank(url)
-    kept = kept_query(query(clean))
-    key = F.concat(bare_host(clean), trimmed_path(clean), F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(""))
-    return F.when(clean == "", "").otherwise(key)
+    kept = lambda clean: F.concat(F.lit("?"), F.nullif(kept_query(query(clean)), F.lit("")))
+    key = lambda clean: F.concat(bare_host(clean), trimmed_path(clean), F.coalesce(kept(clean), F.lit("")))
+    return let(strip_blank(url), lambda clean: F.when(clean == "", "").otherwise(key(clean)))
 
 
 def canonical_url(url: Column) -> Column:
@@ -74,10 +79,12 @@ def canonical_url(url: Column) -> Column:
 
 def surt_key(url: Column) -> Column:
     """Host labels in reverse, then path without leading slashes and the raw query, all in lower case; `www.` stays."""
-    clean = strip_blank(url)
-    labels = F.array_join(F.reverse(F.split(host(clean), r"\.")), ",")
-    raw = query(clean)
-    return F.lower(F.concat(labels, F.lit(")/"), F.regexp_replace(path(clean), "^/+", ""), F.when(raw != "", F.concat(F.lit("?"), raw)).otherwise("")))
+    def key(clean: Column) -> Column:
+        labels = F.array_join(F.reverse(F.split(host(clean), r"\.")), ",")
+        raw = F.concat(F.lit("?"), F.nullif(query(clean), F.lit("")))
+        return F.lower(F.concat(labels, F.lit(")/"), F.regexp_replace(path(clean), "^/+", ""), F.coalesce(raw, F.lit(""))))
+
+    return let(strip_blank(url), key)
 
 
 def article_key(url: Column) -> Column:
@@ -156,7 +163,11 @@ SITE_RULES = (
 
 def classified(url: Column, rules: tuple[Rule, ...] = SITE_RULES) -> Column:
     """struct(kind, rollup_key) by the first rule that fits; `other` and the path where none does."""
-    h, p = bare_host(url), F.regexp_replace(path(url), "/{2,}", "/")
+    place = F.struct(bare_host(url).alias("h"), F.regexp_replace(path(url), "/{2,}", "/").alias("p"))
+    return let(place, lambda at: _by_rules(at["h"], at["p"], rules))
+
+
+def _by_rules(h: Column, p: Column, rules: tuple[Rule, ...]) -> Column:
     found = F.struct(F.lit("other").alias("kind"), F.concat(F.lit("other:"), p).alias("rollup_key"))
     for rule in reversed(rules):
         groups = rule.path.count("(") - rule.path.count("(?")
