@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import spelling_key, strip_blank
+from ..operators.skew import attach_groups
 from ..operators.timestamps import in_utc, parse_times, stated_instant
-from ..session import computed, filled, table
+from ..session import checkpoint, computed, filled, table
 from .residue import with_residue
 
 #: Days after which a vote counts half.
@@ -98,7 +99,9 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = unpivot(rows, group, fields)
     winners = [F.max_by(F.when(F.col("field") == f, F.col("value")), F.when(F.col("field") == f, F.col("vote"))).alias(f) for f in fields]
     pages = long.groupBy(*group).agg(*winners, several).filter("several")
-    joined = pages.join(page_titles(spark, sf_dir), "page_rollup", "left")
+    pages = checkpoint(pages.drop("several"))
+    titles = pages.groupBy("page_rollup").agg(F.count("*").alias("pages")).join(page_titles(spark, sf_dir), "page_rollup", "left")
+    joined = attach_groups(pages, titles, ["page_rollup"], "pages", pages.count())
     return joined.select("first_seq", *[F.coalesce(c, none.cast("bigint")).alias(c) for c in ("url_seq", "seen_seq", "count_seq", "title_seq")])
 
 
