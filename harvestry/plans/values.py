@@ -68,7 +68,7 @@ def u29_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def u32_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _columns(spark, sf_dir, "contributors", "contributor_id", {"slug": titles.slugify(F.col("name")), "site_slug": titles.slugify(F.col("name"), True)})
+    return _columns(spark, sf_dir, "site_records", "seq", {"slug": titles.slugify(F.col("byline")), "site_slug": titles.slugify(F.col("byline"), True)})
 
 
 def u34_project_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
