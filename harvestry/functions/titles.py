@@ -48,6 +48,9 @@ def title_cased(text: Column) -> Column:
     return F.array_join(F.transform(letters, lambda w: F.concat(F.upper(w.substr(1, 1)), w.substr(2, 10_000))), "")
 
 
+#: Roles and dashes in front of a credit, and what stands between credits.
+ROLE = r"(?i)^(?:[-–—]+\s*|(?:edited by|written by|posted by|by)\s+)"
+BETWEEN = r"(?i)\s*(?:,\s*and\s+|,\s*|\s+and\s+|\s*/\s*|\s*\|\s*)\s*"
 #: Credits that name nobody, and what such credits begin with.
 NO_PERSONS = ("staff", "staff reports", "newsroom", "admin", "tallyboard", "tallyboard video", "a tallyboard chat", "abc news", "espn", "the new york times")
 NO_PERSON_STARTS = ("published ", "updated ", "art by ", "design by ", "illustration by ", "illustrations by ", "photos by ", "photography by ", "video by ")
@@ -61,8 +64,8 @@ def distinct_in_order(names: Column) -> Column:
 def authors_of(byline: Column) -> Column:
     """The persons of a byline in order: mail form unwrapped, one role in front dropped, split at commas, slashes, bars and
     `and`, shouted names calmed, credits of nobody and anything with digits left out."""
-    s = F.regexp_replace(display_name(byline), r"(?i)^(?:[-–—]+\s*|(?:edited by|written by|posted by|by)\s+)", "")
-    parts = F.transform(F.split(s, r"(?i)\s*(?:,\s*and\s+|,\s*|\s+and\s+|\s*/\s*|\s*\|\s*)\s*"), lambda p: F.regexp_replace(F.trim(p), r"^[.,;\s]+|[.,;\s]+$", ""))
+    s = F.regexp_replace(display_name(byline), ROLE, "")
+    parts = F.transform(F.split(s, BETWEEN), lambda p: F.regexp_replace(F.trim(p), r"^[.,;\s]+|[.,;\s]+$", ""))
     calm = F.transform(parts, lambda p: F.when((p == F.upper(p)) & F.contains(p, F.lit(" ")), title_cased(p)).otherwise(p))
     real = F.filter(calm, lambda p: (p != "") & ~p.rlike(r"\d") & ~F.lower(p).isin(*NO_PERSONS) & ~F.lower(p).rlike("^(?:" + "|".join(NO_PERSON_STARTS) + ")"))
     return distinct_in_order(real)

@@ -13,7 +13,7 @@ from ..operators.resolve import resolve_articles
 from ..operators.search import inverted_index, matches
 from ..session import computed, table
 from .index import SQL as INDEX_SQL
-from .index import a8_best_enriched, host_sql, path_sql
+from .index import a8_best_enriched
 from .values import SQL as VALUE_SQL
 
 LEGACY = "article:wp/"
