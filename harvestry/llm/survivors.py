@@ -6,8 +6,6 @@ max_by in one aggregation with partial results, and the winners are pivoted back
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 

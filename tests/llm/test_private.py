@@ -1,5 +1,7 @@
 import random
+from itertools import product
 
+import numpy as np
 import pytest
 
 from harvestry.llm.labelled import labelled_sentences
@@ -27,9 +29,9 @@ def test_viterbi_against_brute_force(field):
     words = ["By", "Olivia", "Sabgatti", ",", "907 13 6282", "12", "Elm", "St", "the"]
     for _ in range(20):
         rows = [field.row(rng.choice(words)) for _ in range(4)]
-        emitted = field._emissions(__import__("numpy").array([rows]))[0]
+        emitted = field._emissions(np.array([rows]))[0]
         best, path = -1e18, None
-        from itertools import product
+
 
         for labels in product(range(len(LABELS)), repeat=4):
             score = field.starts[labels[0]] + sum(emitted[t, x] for t, x in enumerate(labels)) + sum(field.moves[a, b] for a, b in zip(labels, labels[1:], strict=False))
