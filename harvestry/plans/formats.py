@@ -116,10 +116,12 @@ def e2_streamed_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TEXT = "regexp_replace({}, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g')"
 _TRIM = "trim({}, ' ' || chr(9) || chr(10) || chr(13))"
 _WIDE = r"trim(regexp_replace(regexp_replace(coalesce({}, ''), '[\x{{00a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}\x{{0085}}]', ' ', 'g'), '\s+', ' ', 'g'))"
+_ENDS = r"regexp_replace(coalesce({}, ''), '^[\s\x{{0085}}\x{{00a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+|[\s\x{{0085}}\x{{00a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+$', '', 'g')"
 SQL = {
     "s4_captures": f"""select seq // {ROWS} as page, (row_number() over (partition by seq // {ROWS} order by seq))::int as at, coalesce(urlkey, '') as urlkey, coalesce(last_seen_ts, '') as timestamp, coalesce(url, '') as original, coalesce(latest_mimetype, '') as mimetype,
         coalesce(latest_status, '') as statuscode, coalesce(latest_digest, '') as digest, coalesce(latest_length, '') as length from url_records""",
     "s9_sitemaps": f"select seq // {ROWS} as page, trim(url) as loc from curated where url <> ''",
+    "s10_feeds": f"""select seq // {ROWS} as page, (row_number() over (partition by seq // {ROWS} order by seq) - 1)::int as at, {', '.join(f"{_ENDS.format(c)} as {c}" for c in ('url', 'title', 'byline', 'published_at'))} from feed_entries""",
     "s11_time_maps": "select * from (select regexp_extract(wayback_url, '/([0-9]{14})(?:[a-z]{2}_)?/', 1) as ts, count(*) as n from enriched where wayback_url is not null group by 1) where ts <> ''",
     "s24_states": "select latest_status = '200' as done, count(*) as shards, sum(snapshot_observations)::bigint as rows from url_records group by 1",
     "n1_page_facts": f"""select seq, {_WIDE.format('title')} as title, {_WIDE.format('byline')} as byline, {_WIDE.format('date')} as published_at,

@@ -140,6 +140,8 @@ SQL = {
         row_number() over (partition by rollup_key order by seq) as early from q)
         select rollup_key, max(case when early = 1 then kind end) as kind, max(case when short = 1 then url end) as url, min(nullif(first_seen_ts, '')) as first_seen_ts, max(nullif(last_seen_ts, '')) as last_seen_ts, count(*) as member_url_count,
         max(case when late = 1 then latest_status end) as latest_status, max(case when late = 1 then latest_mimetype end) as latest_mimetype from r group by rollup_key""",
+    "a3_project_address": f"""with u as (select rollup_key, url, min(seq) as place from url_records where kind = 'project' and {_QUALIFIES} group by 1, 2), l as (select rollup_key, list(url order by place, url) as urls from u group by 1)
+        select rollup_key, list_reduce(urls, lambda a, b: case when (case when ends_with(b, '/') <> ends_with(a, '/') then ends_with(b, '/') when len(string_split(b, '/')) <> len(string_split(a, '/')) then len(string_split(b, '/')) < len(string_split(a, '/')) else length(b) < length(a) end) then b else a end) as url from l""",
     "a4_kept_by_kind": f"select kind, count(*) as n from url_records where {_QUALIFIES} group by kind",
     "a5_duplicate_digests": _DUPLICATES.format(k="latest_digest"),
     "a5_duplicate_keys": _DUPLICATES.format(k="canonical_key"),

@@ -246,6 +246,8 @@ _ID = r"regexp_replace(left(regexp_replace(regexp_replace(lower(concat_ws('-', s
 _AUDIO = rf"regexp_replace(split_part(split_part(case when regexp_matches(audio, '^[a-z]+://') then audio else 'https://' || regexp_replace(audio, '^//', '') end, '#', 1), '?', 1), '\.mp$', '.mp3')"
 _WORDS = r"list_filter(regexp_split_to_array(lower(coalesce({}, '')), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '')"
 SQL = {
+    "u29_authors": f"""with a as ({_AUTHORS.replace("{table}", "enriched").replace("{{", "{").replace("}}", "}")[1:-1]}), l as (select seq, list(name order by place) as names from a group by 1), e as (select seq, coalesce(names, []) as names from enriched left join l using (seq) where byline is not null)
+        select seq, array_to_string(names, '; ') as authors, case when len(names) <= 1 then array_to_string(names, '') when len(names) = 2 then array_to_string(names, ' and ') else array_to_string(names[:-2], ', ') || ', and ' || names[-1] end as byline_clean, len(names)::int as n from e""",
     "j2_enrichment": f"""with e as ({_BEST}), c as (select seq, rollup_key, {_key_sql('url')} as key from curated)
         select c.seq, coalesce(a.seq, b.seq) as enriched_seq, case when a.seq is not null then 1 when b.seq is not null then 2 end as found_by from c left join e a on c.rollup_key = a.rollup_key left join e b on c.key = b.rollup_key""",
     "j3_url_override": f"""with p as (select key, arg_max(mp3_url, seq) as m from (select seq, mp3_url, {_key_sql('source_article_url')} as key from podcast_metadata where source_article_url <> '') where mp3_url is not null group by 1),
