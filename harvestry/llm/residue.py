@@ -1,10 +1,10 @@
 """Problem 1: template residue, filler and error-page text in place of content.
 
-A naive Bayes classifier is learnt from trusted positives and unlabelled passages by expectation-maximisation: records
-that match a short list of trusted forms are positive; passages with two words or more that no trusted form has (in status
-and error: without any sign of a placeholder) are reliably negative; the others start as negative and get the posterior of
-the model of the round before. The model is a table of fixed size (hashed features), so a round is one aggregation into at most
-BUCKETS groups, and scoring needs no join.
+A naive Bayes classifier is learnt from trusted positives and unlabelled passages by expectation-maximisation: passages
+that match a list of trusted forms are positive; all others start as negative and get the posterior of the model of the
+round before, halved where a passage is unlikely to be residue (two words or more that no trusted form has; in status and
+error no sign of a placeholder). Forms serve as labels only: every passage is scored, and the score decides. The model is a
+table of fixed size (hashed features), so a round is one aggregation into at most BUCKETS groups, and scoring needs no join.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ from ..session import checkpoint, computed, filled, table
 
 #: Size of the hashed model, rounds of EM, and smoothing.
 BUCKETS, ROUNDS, SMOOTHING = 1 << 16, 4, 0.1
+#: Pseudo-counts that draw a class's rate of a feature to its rate in all passages, so that a rare word of headlines isn't
+#: taken for residue only because there are fewer positives; share of the posterior that unlikely passages learn from.
+RATE_MASS, UNLIKELY = 2.0, 0.5
 #: Forms that nothing but placeholders and filler has.
 PLACEHOLDER_FORMS = [
     r"\{\{.*\}\}", r"\{%.*%\}", r"[$#]\{.*\}", r"^\{[\w.:!]*\}", r"<%.*%>", r"&lt;\S+&gt;$", r"^<[\w.:]+>$", r"<!--.*-->", r"\[\[.*\]\]", r"@@.*@@", r"%%.*%%", r"^%[\w.:]+%$", r"^__[\w.:]+__$",
@@ -104,20 +107,20 @@ def _trusted(field: str, text: Column) -> Column:
     return _any(text, PLACEHOLDER_FORMS + PAGE_FORMS) if field == "title" else _any(text, PLACEHOLDER_FORMS)
 
 
-def _reliable(field: str, text: Column, words: list[str]) -> Column:
+def _unlikely(field: str, text: Column, words: list[str]) -> Column:
     return _strangers(text, words) >= 2 if field == "title" else ~text.rlike(r"[{}<>\[\]%$_]")
 
 
 class Model:
-    """Log odds of every bucket and, by field, of a passage before its features are seen."""
+    """By field, log odds of every bucket and of a passage before its features are seen."""
 
-    def __init__(self, weights: np.ndarray, prior: dict[str, float]):
+    def __init__(self, weights: dict[str, np.ndarray], prior: dict[str, float]):
         self.weights, self.prior = weights, prior
 
     def posterior(self, field: str, features: Iterator) -> np.ndarray:
         sizes = np.fromiter((len(f) for f in features), np.int64, len(features))
         flat = np.concatenate(features) if sizes.sum() else np.zeros(0, np.int64)
-        sums = np.add.reduceat(np.append(self.weights[flat], 0.0), np.minimum(np.cumsum(sizes) - sizes, len(flat))) if len(sizes) else np.zeros(0)
+        sums = np.add.reduceat(np.append(self.weights[field][flat] if field in self.weights else np.zeros(len(flat)), 0.0), np.minimum(np.cumsum(sizes) - sizes, len(flat))) if len(sizes) else np.zeros(0)
         sums[sizes == 0] = 0
         return 1 / (1 + np.exp(-np.clip(sums + self.prior.get(field, -9.0), -50, 50)))
 
@@ -133,11 +136,15 @@ def learn(rows: DataFrame, rounds: int = ROUNDS) -> Model:
     for field in FIELDS:
         text = F.col(f"p_{field}")
         counted = rows.filter(text.isNotNull() & (text != "")).groupBy(text.alias("text")).agg(F.count("*").cast("double").alias("weight"))
-        parts.append(counted.select(F.lit(field).alias("field"), _features(field, F.col("text"), words).alias("features"), F.log1p("weight").alias("weight"), _trusted(field, F.col("text")).alias("trusted"), _reliable(field, F.col("text"), words).alias("reliable")))
+        parts.append(counted.select(F.lit(field).alias("field"), _features(field, F.col("text"), words).alias("features"), F.log1p("weight").alias("weight"), _trusted(field, F.col("text")).alias("trusted"), _unlikely(field, F.col("text"), words).alias("unlikely")))
     known = checkpoint(parts[0].unionByName(parts[1]).unionByName(parts[2]))
     model = None
     for _ in range(rounds):
-        share = F.col("trusted").cast("double") if model is None else F.when(F.col("trusted"), F.lit(1.0)).when(F.col("reliable"), F.lit(0.0)).otherwise(_score(known.sparkSession.sparkContext.broadcast(model))(F.col("field"), F.col("features")))
+        if model is None:
+            share = F.col("trusted").cast("double")
+        else:
+            score = _score(known.sparkSession.sparkContext.broadcast(model))(F.col("field"), F.col("features"))
+            share = F.when(F.col("trusted"), F.lit(1.0)).otherwise(score * F.when(F.col("unlikely"), F.lit(UNLIKELY)).otherwise(F.lit(1.0)))
         scored = computed(known, {"share": share})
         sums = scored.select("field", F.explode(F.concat(F.col("features"), F.array(F.lit(-1)))).alias("bucket"), (F.col("weight") * F.col("share")).alias("p"), (F.col("weight") * (1 - F.col("share"))).alias("n")).groupBy("field", "bucket").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
         model = _model(sums.toPandas())
@@ -145,13 +152,15 @@ def learn(rows: DataFrame, rounds: int = ROUNDS) -> Model:
 
 
 def _model(sums: pd.DataFrame) -> Model:
-    weights, prior = np.zeros(BUCKETS), {}
+    weights, prior = {}, {}
     for field, own in sums.groupby("field"):
         whole = own[own.bucket == -1].iloc[0]
         p, n = whole.p + 2 * SMOOTHING, whole.n + 2 * SMOOTHING
         prior[field] = float(np.log(p / n))
         own = own[own.bucket >= 0]
-        weights[own.bucket] = np.log((own.p + SMOOTHING) / p) - np.log((own.n + SMOOTHING) / n)
+        rate = RATE_MASS * (own.p + own.n) / (p + n)
+        weights[field] = np.zeros(BUCKETS)
+        weights[field][own.bucket] = np.log((own.p + rate) / (p + RATE_MASS)) - np.log((own.n + rate) / (n + RATE_MASS))
     return Model(weights, prior)
 
 
@@ -192,15 +201,10 @@ def with_residue(df: DataFrame, model: Model | None = None) -> DataFrame:
     rows = passages(df)
     model = model or learn(rows)
     words = trusted_vocabulary()
-    # A trusted form decides by itself; the model decides on passages that have at most one word foreign to such forms, so
-    # only these are scored.
-    sure = {f: F.coalesce(_trusted(f, F.col(f"p_{f}")), F.lit(False)) for f in FIELDS}
-    rows = computed(rows, {f"p_sure_{f}": c for f, c in sure.items()})
-    is_open = {f: F.coalesce((F.col(f"p_{f}") != "") & ~F.col(f"p_sure_{f}") & ~_reliable(f, F.col(f"p_{f}"), words), F.lit(False)) for f in FIELDS}
-    features = [F.when(is_open[f], _features(f, F.col(f"p_{f}"), words)) for f in FIELDS]
+    features = [F.when(F.col(f"p_{f}") != "", _features(f, F.col(f"p_{f}"), words)) for f in FIELDS]
     shared = df.sparkSession.sparkContext.broadcast(model)
     scored = computed(rows, {"p_score": _score_rows(shared)(*features)})
-    found = {f: F.col(f"p_sure_{f}") | (F.col("p_score")[k] > 0.5) for k, f in enumerate(FIELDS)}
+    found = {f: F.col("p_score")[k] > 0.5 for k, f in enumerate(FIELDS)}
     title = F.col("p_title")
     plain = title.rlike(r"^[\p{L}-]+(?: [\p{L}-]+)?$") & ~title.rlike(NEVER_HEADLINES)
     failed = F.coalesce(F.col("p_status").rlike(r"^[45]\d\d$"), F.lit(False))

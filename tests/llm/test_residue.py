@@ -33,5 +33,15 @@ def test_model_learns_words_beyond_the_trusted_forms(spark):
     assert {r.seq: r.residue for r in with_residue(extra, model).collect()} == {1: True, 2: False}
 
 
+def test_the_score_decides_on_wording_that_no_form_has(spark):
+    errors = ["lorem ipsum dolor", "todo: error text", "{{error}}", "too many redirects", "ReadTimeout after 600s", "no capture in range"]
+    more = spark.createDataFrame([(2000 + i, "The Late Budget Of Town1", "200", e, "x") for i, e in enumerate(errors)], frame(spark).schema)
+    model = learn(passages(frame(spark).unionByName(more)))
+    cases = [("Sorry, this page seems to be no longer available on our server", "200", None, True), ("Script blocking is enabled: please enable JavaScript and reload this page", "200", None, True), ("A Fine Title", "200", "ipsum dolor lorem", True)]
+    cases += [("The Late Index Of Town3", "200", None, False), ("How Rural Counties Changed The Budget", "200", "too many redirects", False)]
+    df = spark.createDataFrame([(i, t, s, e) for i, (t, s, e, _) in enumerate(cases)], "seq bigint, title string, http_status string, error string")
+    assert {r.seq: r.residue for r in with_residue(df, model).collect()} == {i: c[3] for i, c in enumerate(cases)}
+
+
 def test_empty_table(spark):
     assert with_residue(frame(spark).filter("false")).count() == 0
