@@ -140,9 +140,28 @@ Von {D} Stimmzetteln waren {D} ungültig. In {T} schlossen die Lokale um {D} Uhr
 La encuesta en {T} cambió poco desde {D}. Die Mannschaft aus {T} gewann {D} zu {D}.
 {D}
 {D} {D} {D} {D}
+{H} {H} {H}
+{H} {H} Are {H} {T}
+The {H} {H} Of {T}
+Is {H} {H} In {T} Really {H}?
+Where {H} {H} Stand On {H} {H}
+Where {H} Stand On {H} {H}
+{H} {H}: A {T} Chat
+{T}’s {H} {H}, Explained
+Significant Digits: {T}, {H} {H} And More
+Why {H} {H} Matters More In {T} Than You Think
+What {H} {H} Tell Us About The {H} {H}
+We Asked {H} {H} In {T} About {H} {H}
+{H} {H} And The Art Of {H} {H}
+We asked {N} and {N} about it.
+We spoke with {N}, {N} and {N} last week.
+{N} told us that {N} had left.
+The {H} {H} said no to the {w} {w}.
 """.strip().split("\n")  # noqa: E501
 
 WORDS = "late rural noisy steep modest narrow durable trend ranking share streak model gap average record pattern schedule ballot turnout wage growth mail early campaign rest season polling collapsed reversed widened drifted a the of in and for it he she they we then when after before".split()
+#: Words of headlines that are no names, for {H}; any other word may stand there as well.
+HEADLINE = "Polling Errors Swing Precincts Rest Days Small Donors Night-shift Workers First-time Voters Campaign Fundraising Vaccine Uptake Runoff Rules Overtime Coach Firings Bullpen Usage Streaming Ratings Home-field Advantage Split-ticket Voting Season-ticket Holders Parents Regional Forecast Stubborn Sample Surprising Narrow Historic Partisan Lopsided Seasonal Baseline Spread Ranking Supreme Court Federal Reserve White House New York Times National Park Health Care School Boards Union Households College Graduates Housing Costs Gas Prices Interest Rates Early Returns Late Deciders Primary Calendar Debate Night Draft Picks Trade Deadline Playoff Odds Injury Reports Climate Policy Air Quality Water Rights Farm Exports Public Transit Road Repairs Jobs Report Tax Cuts Minimum Wages Child Tuition Student Loans Remote Work Election Officials Mail Ballots Rural Counties Urban Renters Lorem Ipsum Local News Weather Models Booming Changing Shrinking Growing Uneven".split()
 NEXT = ["The", "That", "A", "It", "In", "We", "On", "None", "If", "See", "Over", "Teams", "Years", "By", "There", "Compare", "Text", "Voters", "Call", "My"]
 STREETS = "Granary Dogwood Ironwood Alder Quarry Elm Birch Juniper Orchard Tannery Saddle Foundry Chestnut Maple Hollow-Oak Upper-Weir North-Juniper Mill-Pond 3rd 14th 22nd Main Cedar".split()
 KINDS = "St St. Street Rd Rd. Road Ave Ave. Avenue Ln Ln. Lane Dr Dr. Drive Blvd Blvd. Boulevard Way Terrace Court Ct Place".split()
@@ -162,6 +181,12 @@ class Filler:
         name = part().capitalize() + self.r.choice(["", "", "son", "berg", "ton", "ova", "etti", "ström", "worth", "lander", "gatti", "kov"])
         return f"{name}-{part().capitalize()}" if self.r.random() < 0.08 else name
 
+    def given_name(self) -> str:
+        """A known given name, or in half of all cases a made-up one, so that the field doesn't lean on the list."""
+        if self.r.random() < 0.5:
+            return self.r.choice(self.given)
+        return "".join(self.r.choice("bcdfghjklmnprstvwz") + self.r.choice("aeiouéö" if self.r.random() < 0.1 else "aeiou") for _ in range(self.r.choice([1, 2, 2, 3]))).capitalize() + self.r.choice(["", "", "n", "s", "l", "ra", "mes", "ta"])
+
     def town(self) -> str:
         return "".join(self.r.choice("bdfghjklmnprstvwyz") + self.r.choice("aeiou") for _ in range(4)).capitalize()
 
@@ -171,8 +196,8 @@ class Filler:
     def fill(self, slot: str) -> str:
         r = self.r
         if slot == "N":
-            g, s, x = r.choice(self.given), self.surname(), r.random()
-            g = f"{g[0]}." if x < 0.1 else f"{g} {r.choice('ABCDEFHJKLMNPRST')}." if x < 0.18 else g
+            g, s, x = self.given_name(), self.surname(), r.random()
+            g = f"{g[0]}." if x < 0.1 else f"{g} {r.choice('ABCDEFHJKLMNPRST')}." if x < 0.18 or x > 0.94 else g
             name = f"{s}, {g}" if 0.18 <= x < 0.28 else f"{g} {s}"
             return name.upper() if 0.28 <= x < 0.36 else name
         if slot == "E":
@@ -211,6 +236,8 @@ class Filler:
             return "".join(r.choice("0123456789..") if x else r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMN_%/") for x in [r.random() < 0.5] * r.randint(12, 50))
         if slot == "B":
             return f"978-0-00-{r.randint(100, 9999)}-{r.randint(1, 9)}"
+        if slot == "H":
+            return r.choice(HEADLINE) if r.random() < 0.9 else r.choice(WORDS).capitalize()
         if slot == "W":
             return self.surname()
         if slot == "T":

@@ -64,6 +64,8 @@ def features_of(token: str) -> tuple[str, ...]:
     case = "u" if len(token) == 1 and token.isupper() else "U" if token.isupper() else "c" if first.isupper() else "l"
     plain = fold(low)
     out = [f"c={case}", f"w={low}", f"c={case}{'-' if '-' in token else ''}{min(len(token), 4)}"]
+    if len(low) > 3 and case in "cl":
+        out += ["own" if low.endswith(("’s", "'s")) else f"e={low[-3:]}"]
     if plain in _GIVEN:
         out += [f"given={case}"]
     if low in STREET_WORDS or low.endswith(("straße", "weg", "allee", "strasse", "platz")):
@@ -330,9 +332,10 @@ def _is_given(word: str) -> bool:
 
 
 def _names_in(text: str) -> list[tuple[int, int]]:
-    """The names in a run of words that was decoded as one: each has a given name or initial, and a surname.
+    """The names in a run of words that was decoded as one: each has two words or more, one of them longer than two letters, and
+    the first is no possessive.
 
-    Two names side by side part where the second's given name begins.
+    Two names side by side part where the second's given name begins, if that is a known one or an initial.
     """
     words = [(m.group(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_]+(?:[’'-][^\W\d_]+)*\.?|,", text)]
     out, at = [], 0
@@ -348,7 +351,7 @@ def _names_in(text: str) -> list[tuple[int, int]]:
             stop += 1
         name = words[at:stop]
         full = [w for w, _, _ in name if w != ","]
-        if len(full) > 1 and any(_is_given(w) for w in full) and max(map(len, full)) > 2 and _NAME.fullmatch(text[name[0][1] : name[-1][2]]):
+        if len(full) > 1 and not re.search(r"[’']s$", full[0]) and max(map(len, full)) > 2 and _NAME.fullmatch(text[name[0][1] : name[-1][2]]):
             out.append((name[0][1], name[-1][2]))
         at = stop
     return out

@@ -58,3 +58,9 @@ def test_items_and_redaction(spark, field):
     assert out[0].startswith("By [name]\nMy cell is [phone], text me anytime. Write to [email]. The affidavit lists [name], [id_number], [address]")
     assert out[1] is None and all(out[i] == texts[i] for i in (2, 3, 4, 5, 7))
     assert private_items(df.filter("false"), "doc_id", "text", field).count() == 0
+
+
+def test_given_names_outside_the_list(field):
+    text = "According to James Carter, the count was fair. We asked Wei Zhang and Fatima Hassan about it."
+    assert [text[a:b] for a, b, k in find_private([text], field)[0] if k == "name"] == ["James Carter", "Wei Zhang", "Fatima Hassan"]
+    assert find_private(["Is Polling Errors In Fipagawo Really Uneven?", "Small Donors Are Changing Sitego"], field) == [[], []]
