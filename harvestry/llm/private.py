@@ -1,8 +1,8 @@
 """Problem 10: private data in running text, found by a linear-chain conditional random field and replaced by type.
 
 The field is trained on the small labelled table of `labelled` with features of word shape, word and neighbourhood. A
-text is cut into tokens (an address of a mailbox or a group of digits is one), tokens into short sequences; every distinct
-token's scores are computed once per worker, so a sequence is scored by adding rows, and Viterbi runs over whole batches
+text is cut into tokens (an address of a mailbox or a group of digits is one), lines are decoded whole; every distinct
+token's scores are computed once per worker, so a line is scored by adding rows, and Viterbi runs over whole batches
 of sequences in numpy. An exact check of each decoded item follows.
 """
 
@@ -26,8 +26,8 @@ LABELS = ["O", "name", "+name", "email", "phone", "id_number", "+id_number", "ad
 KINDS = ["email", "phone", "id_number", "address", "name"]
 #: Fillings of every template of the labelled table, rounds of training, step, and weight of the prior.
 COPIES, ROUNDS, STEP, PRIOR = 40, 8, 0.05, 1e-5
-#: Longest sequence that is decoded at once, and characters decoded in one batch.
-LONGEST, BATCH_CHARS = 100, 400_000
+#: Characters decoded in one batch.
+BATCH_CHARS = 400_000
 
 _AT = r"(?:\s?(?:@|＠|&#64;|[(\[{<]\s?at\s?[)\]}>])\s?|\s+AT\s+|\s+at\s+(?=[\w-]+(?:\s+dot\s|\s?[(\[{]\s?(?:dot|\.)\s?[)\]}])))"
 _DOT = r"(?:\.|\s?[(\[{]\s?(?:dot|\.)\s?[)\]}]\s?|\s+(?:dot|DOT)\s+)"
@@ -258,29 +258,20 @@ def find_private(texts: list[str | None], field: Field) -> list[list[tuple[int,
     """[(start, end, kind)] of each text, in order; none for null and empty texts. Offsets count code points."""
     if len(field.rows) > 300_000:
         field._reset()
-    cuts, sequences = [], []  # (text, offset of the line, line, first token)
+    lines, sequences = [], []  # (text, offset of the line, line)
     for k, text in enumerate(texts):
         offset = 0
         for line in re.split(r"(?<=[\n\r \x0b\x0c])", text or ""):
             tokens = [m.group() for m in TOKENS.finditer(line)] if line.strip() else []
-            at = 0
-            while at < len(tokens):
-                stop = min(len(tokens), at + LONGEST)
-                if stop < len(tokens):
-                    ends = [i for i in range(at + LONGEST // 2, stop) if tokens[i] in ".!?;"]
-                    stop = ends[-1] + 1 if ends else stop
-                cuts.append((k, offset, line, at))
-                sequences.append(list(map(field.row, tokens[at:stop])))
-                at = stop
+            if tokens:
+                lines.append((k, offset, line))
+                sequences.append(list(map(field.row, tokens)))
             offset += len(line)
     found: list[list[tuple[int, int, str]]] = [[] for _ in texts]
-    spans_of: tuple[int, int, list] = (-1, -1, [])
-    for (k, offset, line, first), labels in zip(cuts, field.decode(sequences), strict=True):
+    for (k, offset, line), labels in zip(lines, field.decode(sequences), strict=True):
         if not labels.any():
             continue
-        if spans_of[:2] != (k, offset):
-            spans_of = (k, offset, [m.span() for m in TOKENS.finditer(line)])
-        spans = spans_of[2]
+        spans = [m.span() for m in TOKENS.finditer(line)]
         t = 0
         while t < len(labels):
             if labels[t] == 0:
@@ -290,7 +281,7 @@ def find_private(texts: list[str | None], field: Field) -> list[list[tuple[int,
             kind = LABELS[labels[t]].lstrip("+")
             while stop < len(labels) and LABELS[labels[stop]] == "+" + kind:
                 stop += 1
-            start, end = spans[first + t][0], spans[first + stop - 1][1]
+            start, end = spans[t][0], spans[stop - 1][1]
             for a, b in _checked(line, start, end, kind):
                 last = found[k][-1] if found[k] else (0, -9, "")
                 if kind == last[2] == "address" and not text_between(line, last[1] - offset, a).strip(" ,"):

@@ -64,3 +64,9 @@ def test_given_names_outside_the_list(field):
     text = "According to James Carter, the count was fair. We asked Wei Zhang and Fatima Hassan about it."
     assert [text[a:b] for a, b, k in find_private([text], field)[0] if k == "name"] == ["James Carter", "Wei Zhang", "Fatima Hassan"]
     assert find_private(["Is Polling Errors In Fipagawo Really Uneven?", "Small Donors Are Changing Sitego"], field) == [[], []]
+
+
+def test_items_of_long_lines_wherever_they_stand(field):
+    for n in range(44, 104, 3):
+        text = "the ballot count in the county was late " * (n // 8) + "and " * (n % 8) + "It was Victoria F. Gravescura who first noticed that the count drifted. " + "the ballot count in the county was late " * 20
+        assert [(text[a:b], k) for a, b, k in find_private([text], field)[0]] == [("Victoria F. Gravescura", "name")]
