@@ -161,6 +161,12 @@ def n16_extensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "url_records").groupBy(ext.alias("extension")).agg(F.count("*").alias("n"))
 
 
+def o3_all_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every group of two or more in order; `o3_largest_groups` is its first hundred rows, as its SQL has them."""
+    rows = table(spark, sf_dir, "url_records").groupBy("canonical_key").agg(F.count("*").alias("n"), F.min("seq").alias("first"))
+    return rows.filter("n > 1").orderBy(F.desc("n"), "first").select("canonical_key", "n")
+
+
 def o3_largest_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "url_records").groupBy("canonical_key").agg(F.count("*").alias("n"), F.min("seq").alias("first"))
     return rows.filter("n > 1").orderBy(F.desc("n"), "first").limit(100).select("canonical_key", "n")
@@ -221,6 +227,7 @@ SQL = {
     "u57_display": f"select seq, case when len({_LISTED}) > 0 then array_to_string({_LISTED}, ', ') else byline end as shown, len(list_distinct({_LISTED}))::int as distinct_authors from site_records",
     "n13_properties": "select event_id, coalesce(json_extract_string(props, '$.k'), json_extract_string(props, '$.page'), 'none') as found from events",
     "n16_extensions": rf"""select coalesce(case latest_mimetype when 'text/html' then '.html' when 'application/xhtml+xml' then '.html' when 'application/pdf' then '.pdf' when 'image/png' then '.png' end, nullif(regexp_extract({path_sql("regexp_replace(regexp_replace(url, '^[[:space:]]+', ''), '[[:space:]]+$', '')")}, '(\.[a-z0-9]{{2,5}})$', 1), ''), '.bin') as extension, count(*) as n from url_records group by 1""",
+    "o3_all_groups": "select canonical_key, count(*) as n from url_records group by 1 having count(*) > 1 order by 2 desc, min(seq)",
     "o3_largest_groups": "select canonical_key, count(*) as n from url_records group by 1 having count(*) > 1 order by 2 desc, min(seq) limit 100",
     "o11_kind_order": "select kind, count(*) as n from site_records group by 1",
     "o12_entries": "select seq, date from site_records order by nullif(date, '') desc nulls last, seq desc limit 250",

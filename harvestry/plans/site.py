@@ -162,6 +162,12 @@ def a32_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return years.distinct().union(months.distinct()).union(names.distinct()).union(shows.distinct())
 
 
+def o4_all_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record in order; `o4_article_order` is its first thousand rows, as its SQL has them."""
+    rows = table(spark, sf_dir, "site_records")
+    return rows.orderBy(F.nullif("date", F.lit("")).asc_nulls_last(), F.col("title").asc_nulls_first(), "seq").select("seq", "date", "title")
+
+
 def o4_article_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first thousand records by date, blank dates last, then title."""
     rows = table(spark, sf_dir, "site_records")
@@ -282,6 +288,7 @@ SQL = {
     "a29_identifiers": f"with r as (select seq, {_ID} as base, coalesce(mp3_url, '') as mp3 from podcast_metadata) select seq, case when count(*) over (partition by base) > 1 then left(base, 91) || '-' || left(sha256(mp3), 8) else base end as identifier from r",
     "a32_routes": f"""select distinct '/year/' || year as route from site_records where year is not null union all select distinct '/year/' || left(date, 4) || '/' || date[6:7] from site_records where regexp_matches(date, '^[0-9]{{4}}-[0-9]{{2}}')
         union all select distinct '/byline/' || slug from {_CREDITS} union all select distinct '/podcast/' || show_slug from podcast_metadata where show_slug <> ''""",
+    "o4_all_articles": "select seq, date, title from site_records order by nullif(date, '') nulls last, title nulls first, seq",
     "o4_article_order": "select seq, date, title from site_records order by nullif(date, '') nulls last, title nulls first, seq limit 1000",
     "o8_top_bylines": f"select slug, count(*) as n from {_CREDITS} group by 1 order by 2 desc, min(seq), slug limit 10",
     "o13_episode_order": "select seq, date from podcast_metadata order by coalesce(nullif(date, ''), chr(65535)) desc, title nulls first, seq limit 250",

@@ -150,3 +150,15 @@ def test_authors_and_titles(spark):
     df = spark.createDataFrame([(t,) for t in raw], "t string")
     assert {r.t: r.c for r in df.select("t", titles.clean_title(F.col("t")).alias("c")).collect()} == raw
     assert spark.createDataFrame([("Zoë Ø. ß漢",)], "t string").select(titles.slugify(F.col("t")).alias("a"), titles.slugify(F.col("t"), True).alias("b")).first() == ("zoe", "zoe")
+
+
+def test_ordered_lists_are_whole(spark, small):
+    from harvestry.plans import registry
+
+    queries = registry.queries()
+    articles = queries["o4_all_articles"](spark, small).collect()
+    assert len(articles) == spark.read.parquet(f"{small}/site_records.parquet").count()
+    assert articles[:1000] == queries["o4_article_order"](spark, small).collect()
+    groups = queries["o3_all_groups"](spark, small).collect()
+    assert len(groups) == spark.read.parquet(f"{small}/url_records.parquet").groupBy("canonical_key").count().filter("count > 1").count()
+    assert groups[:100] == queries["o3_largest_groups"](spark, small).collect()
