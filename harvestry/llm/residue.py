@@ -1,15 +1,17 @@
 """Problem 1: template residue, filler and error-page text in place of content.
 
 A naive Bayes classifier is learnt from trusted positives and unlabelled passages by expectation-maximisation: passages
-that match a list of trusted forms are positive; all others start as negative and get the posterior of the model of the
-round before, halved where a passage is unlikely to be residue (two words or more that no trusted form has; in status and
-error no sign of a placeholder). Forms serve as labels only: every passage is scored, and the score decides. The model is a
-table of fixed size (hashed features), so a round is one aggregation into at most BUCKETS groups, and scoring needs no join.
+that match one of a few generic forms (unfilled markup, filler, status phrases) are positive; titles that name nothing of
+their page's address start undecided, all others as negative, and get the posterior of the model of the round before. Forms serve as labels only: every passage is scored, and the score
+decides. A passage is seen by its words, their neighbours and first letters, its marks, and by what the record
+says of it: whether it names anything that the page's address names. The model is a table of
+fixed size (hashed features), so a round is one aggregation into at most BUCKETS groups, and scoring needs no join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,30 +25,24 @@ BUCKETS, ROUNDS, SMOOTHING = 1 << 16, 4, 0.1
 #: Pseudo-counts that draw a class's rate of a feature to its rate in all passages, so that a rare word of headlines isn't
 #: taken for residue only because there are fewer positives; share of the posterior that unlikely passages learn from.
 RATE_MASS, UNLIKELY = 2.0, 0.5
-#: Forms that nothing but placeholders and filler has.
-PLACEHOLDER_FORMS = [
-    r"\{\{.*\}\}", r"\{%.*%\}", r"[$#]\{.*\}", r"^\{[\w.:!]*\}", r"<%.*%>", r"&lt;\S+&gt;$", r"^<[\w.:]+>$", r"<!--.*-->", r"\[\[.*\]\]", r"@@.*@@", r"%%.*%%", r"^%[\w.:]+%$", r"^__[\w.:]+__$",
-    r"^\$[\w.:]+\$?$", r"%\(\w+\)[sd]", r"%[sd]\b", r"\{\d\}", r"^\[.*goes here\]$", r"\bgoes here$", r"^\(?(?:no title|untitled(?: (?:document|page|post|article))?)\)?$", r"^\[object object\]$", r"^(?:null|undefined|nan|none|n/a|xxx|headline|title)$", r"\blorem ipsum dolor\b",
-    r"^(?:(?:lorem|ipsum|dolor|sit|amet|consectetur|adipiscing|elit|sed|do|eiusmod|tempor|incididunt|ut|labore|et|dolore|magna|aliqua)\b[\s,.]*){3,300}$",
-    r"^todo\b", r"^(?:tk ?)+$", r"\btk here$", r"^(?:insert|enter|add) (?:your |a )?(?:title|text|headline)(?: here)?$", r"^\[(?:describe|insert|add|enter|status|error|headline|title)[^\]]*\]$", r"^(?:asdf|test|testing|xxx+|blah)\b(?: (?:asdf|jkl|test|testing|post|please|ignore|x+|blah|\d+))*$",
-    r"[\[{<](?:insert )?(?:name|team|place|party|state|candidate|city|county|district|date|year|month|title|headline|author|site|number|topic|subject)[\]}>]", r"\[insert [^\]]+\]",
-    r"^this is a (?:test|sample|dummy)\b.*\.$", r"^sample .* to be replaced$", r"^new page \d+$", r"^[A-Z]+_[A-Z]+$",
-]
-#: Whole titles of error, block, sign-in and redirect pages and of notices about scripts or cookies.
+#: Generic forms of placeholders, in lower case, which label the passages that the model is learnt from.
+MARKED_FORMS = [
+    r"\{\{.*\}\}|\{%.*%\}|[$#]\{.*\}|<%.*%>|<!--|\[\[.*\]\]|@@\w|%%\w",  # marks of templates
+    r"%\(\w+\)[sd]|(?<!\d)%[sd]\b|\{\d\}",  # marks of formatted text
+    r"\[(?:insert|describe|enter|add) |\b(?:goes|tk) here\b|^todo\b",  # notes to whoever fills it in
+]
+#: Generic forms of whole passages that hold nothing but a placeholder or filler.
+FILLER_FORMS = [
+    r"^[\[{<$#%@_]+[\w.:!]+[\]}>$#%@_]*$|^[a-z]+_[a-z]+$",  # one name within marks
+    r"(?:\b(?:lorem|ipsum|dolor|sit|amet)\b\W*){3}",
+    r"^\W*(?:null|undefined|none|nan|untitled|no title|object object|x{3,})\W*$",  # how programs write that nothing is there
+]
+#: Generic phrases of error pages and notices, which label titles only.
 PAGE_FORMS = [
-    r"^(?:http |error )?[45]\d\d(?: ?[|–—:-])?(?: (?:not found|forbidden|page removed|gone|bad gateway|bad request|unauthorized|gateway timeout|service unavailable|internal server error|too many requests))?$",
-    r"^(?:not found|forbidden|page removed|gone|bad gateway|bad request|gateway timeout|service unavailable|internal server error) \([45]\d\d\)$",
-    r"^(?:not found|forbidden|gone|moved|unavailable|rejected|timed out|locked out|access denied|bad request|bad gateway|under construction|under maintenance|service unavailable|unauthorized)$",
-    r"^(?:oops! )?(?:page not found|we can[’']t find that page|the page you requested does not exist|this page is no longer available|this site can[’']t be reached|the link you followed may be broken|nothing found for your request)$",
-    r"^(?:página no encontrada|page introuvable|seite nicht gefunden)$",
-    r"^(?:sorry, something went wrong|an unexpected error has occurred|request timed out while loading this page|connection to origin refused|service temporarily unavailable, try again later|could not connect to the database|too many requests, slow down|down for maintenance\. back soon!)$",
-    r"^your request was blocked(?: \(ref \w+\))?$",
-    r"^(?:are you a robot\?|sign in to view this page|log in to continue|please log in|redirecting(?: you)?(?:…|\.\.\.)?|verify you are human|just a moment(?:…|\.\.\.)?)$",
-    r"^(?:please enable|this site requires|you need to turn on|your browser does not support|enable cookies and) (?:java ?script|js|script(?:s|ing))(?: to (?:view this page|read this story|proceed))?$",
-    r"^(?:we[’']re sorry, but this app doesn[’']t work properly|sorry, no content) without (?:java ?script|js|script(?:s|ing))$",
-    r"^to continue, switch (?:java ?script|js|script(?:s|ing)) on and reload$",
-    r"^(?:java ?script|js|script(?:s|ing)|cookies) (?:must be enabled|is required|are required|seems? to be disabled)$",
-]
+    r"^(?:(?:http|error)\W*)?[45]\d\d\W*(?:not found|forbidden|gone|bad gateway|service unavailable|internal server error)?$",
+    r"\bpage (?:was )?not found$|\bpage .*(?:no longer available|does not exist)$",
+    r"\b(?:enable|requires?)\b.* ?\b(?:javascript|cookies)\b",
+]
 #: A title of one or two plain words may be a headline, unless it has one of these.
 NEVER_HEADLINES = r"\b(?:page|seite|página|site|headline|title|untitled|null|none|nan|undefined|javascript|js|tk|lorem|asdf|blah|x{3,})\b"
 #: Names that a site adds to its titles.
@@ -56,59 +52,60 @@ SITE_NAMES = ("tallyboard",)
 def plain_title(title: Column, sites: tuple[str, ...] = SITE_NAMES) -> Column:
     """The title in lower case, blanks collapsed, without the site's name at either end."""
     names = "|".join(sites)
-    t = F.lower(F.trim(F.regexp_replace(title, r"[\s      ​]+", " ")))
-    t = F.regexp_replace(t, r"</?(?:b|i|u|em|strong|span|p|h[1-6]|a|font)>", "")
+    t = F.lower(F.trim(F.regexp_replace(title, r"[\s\u00a0\u2000-\u200b\u202f\u3000]+", " ")))
+    t = F.regexp_replace(F.replace(F.replace(t, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), r"</?(?:b|i|u|em|strong|span|p|h[1-6]|a|font)>", "")
     return F.trim(F.regexp_replace(t, rf"\s*[|–—:·-]\s*(?:the )?(?:{names})(?:\.example)?\s*$|^(?:the )?(?:{names})(?:\.example)?\s*[|–—:·-]\s+", ""))
 
 
-def _any(text: Column, forms: list[str]) -> Column:
-    return text.rlike("(?i)" + "|".join(f"(?:{f})" for f in forms))
+def trusted(field: str, text: Column) -> Column:
+    """Whether a passage matches a trusted form."""
+    forms = MARKED_FORMS + (FILLER_FORMS if field != "piece" else []) + (PAGE_FORMS if field == "title" else [])
+    return text.rlike("|".join(f"(?:{f})" for f in forms))
 
 
-def _strangers(text: Column, trusted_words: list[str]) -> Column:
-    words = F.regexp_extract_all(text, F.lit(r"\p{L}[\p{L}’']*"), 0)
-    return F.least(F.size(F.array_except(words, F.array(*map(F.lit, trusted_words)))), F.lit(4))
+def _context(df: DataFrame) -> Column:
+    """Whether the page's address names anything that its title names: y or n.
 
-
-def _features(field: str, text: Column, trusted_words: list[str]) -> Column:
-    """Hashed features of a passage: its words and pairs of neighbours, its length, its punctuation and its strangers.
-
-    A stranger is a word that no trusted form has; their number tells a headline that mentions an error from an error.
+    The address is `rollup_key` after its kind; `?` where `df` has no such column, the key is null or has no word.
     """
-    words = F.regexp_extract_all(text, F.lit(r"[\p{L}’']+|\p{N}|[^\p{L}\p{N}\s]+"), 0)
-    pairs = F.transform(F.arrays_zip(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))).alias("a"), F.slice(words, 2, 10_000).alias("b")), lambda p: F.concat(F.lit("b "), p["a"], F.lit(" "), p["b"]))
-    strangers = _strangers(text, trusted_words)
-    extra = F.array(
-        F.concat(F.lit("n "), F.least(F.size(words), F.lit(12)).cast("string")),
-        F.concat(F.lit("s "), F.left(F.regexp_replace(F.regexp_replace(text, r"[\p{L}\p{N}_]+", "a"), r"[a\s,’'-]+", "a"), F.lit(40))),
-        F.concat(F.lit("o "), strangers.cast("string")),
-        F.concat(F.lit("o2 "), strangers.cast("string")),
-    )
-    return F.transform(F.array_distinct(F.concat(words, pairs, extra)), lambda w: F.pmod(F.xxhash64(F.concat(F.lit(f"{field} "), w)), F.lit(BUCKETS)).cast("int"))
-
+    named = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"\p{L}{4,}"), 0)
+    if "rollup_key" not in df.columns:
+        return F.lit("?")
+    address = named(F.regexp_replace("rollup_key", r"^[^:]*:", ""))
+    return F.when(F.size(address) > 0, F.when(F.arrays_overlap(named("title"), address), F.lit("y")).otherwise(F.lit("n"))).otherwise(F.lit("?"))
 
-def trusted_vocabulary() -> list[str]:
-    """The words of the trusted forms of pages."""
-    import re
 
-    text = re.sub(r"\\[a-zA-Z]|[\[\](){}?|^$+*!\\]", " ", " ".join(PAGE_FORMS)).lower()
-    return sorted(set(re.findall(r"[^\W\d_][^\W\d_’']*(?:[’']\w+)?", text)) | {"can’t", "can't", "javascript", "java", "script", "scripts", "scripting", "requires", "seems"})
+def _features(field: str, text: Column, context: Column | None = None) -> Column:
+    """Hashed features of a passage: its words, their first letters, pairs of neighbours, marks, and its context."""
+    words = F.regexp_extract_all(text, F.lit(r"[\p{L}’']+|\p{N}|[^\p{L}\p{N}\s]+"), 0)
+    pairs = F.zip_with(words, F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat(F.lit("b "), a, F.lit(" "), F.coalesce(b, F.lit(""))))
+    starts = F.transform(F.filter(words, lambda w: F.length(w) > 4), lambda w: F.concat(F.lit("p "), F.left(w, F.lit(4))))
+    marks = F.transform(F.regexp_extract_all(text, F.lit(r"[^\p{L}\p{N}\s.,:;!?’'-]{1,2}"), 0), lambda m: F.concat(F.lit("m "), m))
+    extra = [F.concat(F.lit("own "), F.lit("?") if context is None else context)]
+    if field == "piece":  # what is named, and marks of two: a single mark may enclose anything
+        named, double = F.regexp_extract_all(text, F.lit(r"\p{L}{2,}"), 0), F.regexp_extract_all(text, F.lit(r"[^\p{L}\p{N}\s.,:;!?’'-]{2}|\p{N}"), 0)
+        starts, marks, words, pairs, extra = F.transform(named, lambda w: F.concat(F.lit("p "), F.left(w, F.lit(4)))), double, named, F.array(), [F.lit("any")]
+    return F.transform(F.array_distinct(F.concat(words, pairs, starts, marks, F.array(*extra))), lambda w: F.pmod(F.xxhash64(F.concat(F.lit(f"{field} "), w)), F.lit(BUCKETS)).cast("int"))
 
 
 def passages(rows: DataFrame) -> DataFrame:
-    """(field, text) arrays of the three fields of each row, as columns p_title, p_status, p_error; null where blank."""
-    return computed(rows, {"p_title": plain_title(filled("title")), "p_status": F.lower(F.trim(filled("http_status"))), "p_error": F.lower(F.trim(filled("error")))})
-
-
-FIELDS = ("title", "status", "error")
+    """`rows` with its passages, null where blank: p_title, p_piece (what a title has between marks), p_status, p_error; and p_context."""
+    rows = computed(rows, {"p_title": plain_title(filled("title")), "p_status": F.lower(F.trim(filled("http_status"))), "p_error": F.lower(F.trim(filled("error"))), "p_context": _context(rows)})
+    pieces = F.array_join(F.regexp_extract_all("p_title", F.lit(PIECES), 0), " ")
+    return rows.withColumn("p_piece", F.when(pieces != "", pieces))
 
 
-def _trusted(field: str, text: Column) -> Column:
-    return _any(text, PLACEHOLDER_FORMS + PAGE_FORMS) if field == "title" else _any(text, PLACEHOLDER_FORMS)
+FIELDS = ("title", "piece", "status", "error")
+#: What stands between marks within a title.
+PIECES = r"\[[^\]]*\]|[$#%]?\{+[^}]*\}+|<[^>]*>|%\([^)]*\)[sd]"
 
 
-def _unlikely(field: str, text: Column, words: list[str]) -> Column:
-    return _strangers(text, words) >= 2 if field == "title" else ~text.rlike(r"[{}<>\[\]%$_]")
+def _unlikely(field: str, text: Column, context: Column) -> Column:
+    """A title that names what its address names, or any other passage, if it has no mark of a placeholder."""
+    if field == "piece":
+        return F.lit(False)
+    plain = ~text.rlike(r"[{}<>\[\]%$_@#]")
+    return plain & (context == "y") if field == "title" else plain
 
 
 class Model:
@@ -131,17 +128,17 @@ def learn(rows: DataFrame, rounds: int = ROUNDS) -> Model:
     Passages are counted first, so that a title with a third of all rows is one passage of that weight. Between rounds
     only the model, of BUCKETS pairs of sums at most, comes to the driver.
     """
-    words = trusted_vocabulary()
     parts = []
     for field in FIELDS:
-        text = F.col(f"p_{field}")
-        counted = rows.filter(text.isNotNull() & (text != "")).groupBy(text.alias("text")).agg(F.count("*").cast("double").alias("weight"))
-        parts.append(counted.select(F.lit(field).alias("field"), _features(field, F.col("text"), words).alias("features"), F.log1p("weight").alias("weight"), _trusted(field, F.col("text")).alias("trusted"), _unlikely(field, F.col("text"), words).alias("unlikely")))
-    known = checkpoint(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+        text, context = F.col(f"p_{field}"), F.col("p_context") if field == "title" else F.lit("?")
+        counted = rows.filter(text.isNotNull() & (text != "")).groupBy(text.alias("text"), context.alias("context")).agg((F.count("*").cast("double") if field == "piece" else F.log1p(F.count("*"))).alias("weight"))
+        features = _features(field, F.col("text"), F.col("context") if field == "title" else None)
+        parts.append(counted.select(F.lit(field).alias("field"), features.alias("features"), "weight", trusted(field, F.col("text")).alias("trusted"), _unlikely(field, F.col("text"), F.col("context")).alias("unlikely"), F.when((F.col("context") == "n") | F.lit(field == "piece"), F.lit(0.5)).otherwise(F.lit(0.0)).alias("doubt")))
+    known = checkpoint(reduce(DataFrame.unionByName, parts))
     model = None
     for _ in range(rounds):
         if model is None:
-            share = F.col("trusted").cast("double")
+            share = F.when(F.col("trusted"), F.lit(1.0)).otherwise(F.col("doubt"))
         else:
             score = _score(known.sparkSession.sparkContext.broadcast(model))(F.col("field"), F.col("features"))
             share = F.when(F.col("trusted"), F.lit(1.0)).otherwise(score * F.when(F.col("unlikely"), F.lit(UNLIKELY)).otherwise(F.lit(1.0)))
@@ -194,27 +191,27 @@ def _score_rows(model):
 def with_residue(df: DataFrame, model: Model | None = None) -> DataFrame:
     """`df` (title, http_status, error) with `residue`: whether any field holds text that is no content of the page.
 
+    Where `df` has `rollup_key`, the words of that address are evidence for a title that shares one and against the rest.
     Null and blank fields never count. A title of one or two plain words that could be a headline counts only with an
     HTTP status of 400 or more. Repeated rows get the same answer, an empty table stays empty, other columns stay (their
     names must not begin with `p_`). Without a `model` one is learnt from `df`.
     """
     rows = passages(df)
     model = model or learn(rows)
-    words = trusted_vocabulary()
-    features = [F.when(F.col(f"p_{f}") != "", _features(f, F.col(f"p_{f}"), words)) for f in FIELDS]
+    features = [F.when(F.col(f"p_{f}") != "", _features(f, F.col(f"p_{f}"), F.col("p_context") if f == "title" else None)) for f in FIELDS]
     shared = df.sparkSession.sparkContext.broadcast(model)
     scored = computed(rows, {"p_score": _score_rows(shared)(*features)})
     found = {f: F.col("p_score")[k] > 0.5 for k, f in enumerate(FIELDS)}
     title = F.col("p_title")
     plain = title.rlike(r"^[\p{L}-]+(?: [\p{L}-]+)?$") & ~title.rlike(NEVER_HEADLINES)
     failed = F.coalesce(F.col("p_status").rlike(r"^[45]\d\d$"), F.lit(False))
-    residue = (found["title"] & F.coalesce(~plain | failed, F.lit(False))) | found["status"] | found["error"]
+    residue = found["piece"] | (found["title"] & F.coalesce(~plain | failed, F.lit(False))) | found["status"] | found["error"]
     return scored.withColumn("residue", residue).drop(*[c for c in scored.columns if c.startswith("p_")])
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched rows to be left out."""
-    return with_residue(table(spark, sf_dir, "enriched").select("seq", "title", "http_status", "error")).filter("residue").select("seq")
+    return with_residue(table(spark, sf_dir, "enriched").select("seq", "rollup_key", "title", "http_status", "error")).filter("residue").select("seq")
 
 
 SQL: dict[str, str] = {}
