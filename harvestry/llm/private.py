@@ -13,10 +13,8 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import spread, table
 from .labelled import labelled_sentences
@@ -25,16 +23,17 @@ from .names import NICKNAMES, fold
 LABELS = ["O", "name", "+name", "email", "phone", "id_number", "+id_number", "address", "+address"]
 KINDS = ["email", "phone", "id_number", "address", "name"]
 #: Fillings of every template of the labelled table, rounds of training, step, and weight of the prior.
-COPIES, ROUNDS, STEP, PRIOR = 40, 8, 0.05, 1e-5
+COPIES, ROUNDS, STEP, PRIOR = 28, 8, 0.05, 1e-4
 #: Characters decoded in one batch.
 BATCH_CHARS = 400_000
 
 _AT = r"(?:\s?(?:@|＠|&#64;|[(\[{<]\s?at\s?[)\]}>])\s?|\s+AT\s+|\s+at\s+(?=[\w-]+(?:\s+dot\s|\s?[(\[{]\s?(?:dot|\.)\s?[)\]}])))"
 _DOT = r"(?:\.|\s?[(\[{]\s?(?:dot|\.)\s?[)\]}]\s?|\s+(?:dot|DOT)\s+)"
-EMAIL = rf"(?<![\w.+%-])\w[\w.+%-]{{0,63}}(?<![.-]){_AT}[^\W_][\w-]{{0,62}}(?:{_DOT}[^\W_][\w-]{{0,62}}){{1,6}}"
-_NUMBER = r"\+?\(?\d{1,20}\)?(?:[  ./-]\(?\d{1,20}\)?){0,8}(?![\w:])"
+EMAIL = rf"(?<![\w.+%-])\w[\w.+%-]*(?<![.-]){_AT}[^\W_][\w-]*(?:{_DOT}[^\W_][\w-]*)+"
+#: Groups of digits; every group is checked where it ends, so that no long run is read twice.
+_NUMBER = r"\+?\(?\d++\)?(?![\w:])(?:[  ./-]\(?\d++\)?(?![\w:]))*+"
 TOKENS = re.compile(
-    rf"(?:https?://|www\.)[^\s<>\"]+|(?P<e>{EMAIL})|(?<!\w)@\w+|\d{{4}}-\d\d-\d\d(?!\d)|\d{{1,2}}:\d\d(?::\d\d)?(?!\d)|{_NUMBER}|(?=\w{{0,40}}\d)\w+(?:-\w{{0,40}}\d\w*)*|[^\W\d_]+(?:[’'-][^\W\d_]+)*|[^\w\s]|_+|\w",
+    rf"(?:https?://|www\.)[^\s<>\"]+|(?P<e>{EMAIL})|(?<!\w)@\w+|\d{{4}}-\d\d-\d\d(?!\d)|\d{{1,2}}:\d\d(?::\d\d)?(?!\d)|{_NUMBER}|(?=[^\W\d]*+\d)\w++(?:-(?=[^\W\d]*+\d)\w++)*+|[^\W\d_]+(?:[’'-][^\W\d_]+)*|[^\w\s]|_+|\w",
 )
 _GIVEN = set(NICKNAMES) | {s for v in NICKNAMES.values() for s in v.split()}
 #: Words of streets, and of institutions and laws.
@@ -54,16 +53,17 @@ def features_of(token: str) -> tuple[str, ...]:
         shape = re.sub(r"\d", "9", token)
         n = sum(c.isdigit() for c in token)
         kind = "k=number" if re.fullmatch(r"[\d+()\s./:-]+", token) else "k=code"
-        return (kind, f"n={shape[:20]}" if kind == "k=number" else f"n={re.sub(r'[^\W\d]', 'x', shape)[:20]}", f"d={min(n, 12)}", f"d0={token.lstrip('+(')[:1]}" if n > 6 else "d0=")
+        return (kind, f"n={shape}" if kind == "k=number" else f"n={re.sub(r'[^\W\d]', 'x', shape)}", f"d={min(n, 12)}", f"d0={token.lstrip('+(')[:1]}" if n > 6 else "d0=")
     if any(c.isdigit() for c in token):
         shape = re.sub(r"\d", "9", re.sub(r"[^\W\d_]", "x", token))
-        return ("k=code", f"n={shape[:20]}", f"d={min(sum(c.isdigit() for c in token), 12)}")
+        return ("k=code", f"n={shape}", f"d={min(sum(c.isdigit() for c in token), 12)}")
     if not first.isalpha():
         return ("k=mark", f"w={token}")
     low = token.lower()
     case = "u" if len(token) == 1 and token.isupper() else "U" if token.isupper() else "c" if first.isupper() else "l"
     plain = fold(low)
-    out = [f"c={case}", f"w={low}", f"c={case}{'-' if '-' in token else ''}{min(len(token), 4)}"]
+    hyphen = "" if "-" not in token else "-C" if re.search(r"-[^\W\d_a-z]", token) else "-"
+    out = [f"c={case}", f"w={low}", f"c={case}{hyphen}{min(len(token), 4)}"]
     if len(low) > 3 and case in "cl":
         out += ["own" if low.endswith(("’s", "'s")) else f"e={low[-3:]}"]
     if plain in _GIVEN:
@@ -292,7 +292,7 @@ def find_private(texts: list[str | None], field: Field) -> list[list[tuple[int,
     return found
 
 
-_NAME = re.compile(r"[^\W\d_]+(?:[’'-][^\W\d_]+)*\.?(?:(?:,? |, ?)[^\W\d_]+(?:[’'-][^\W\d_]+)*\.?){1,3}")
+_NAME = re.compile(r"[^\W\d_]+(?:[’'-][^\W\d_]+)*\.?(?:(?:,? |, ?)[^\W\d_]+(?:[’'-][^\W\d_]+)*\.?)+")
 
 
 def text_between(line: str, start: int, end: int) -> str:
@@ -348,6 +348,16 @@ def _names_in(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def _in_batches(texts: list[str | None], field: Field) -> Iterator[tuple[int, list[list[tuple[int, int, str]]]]]:
+    """(first text, items of each) of runs of texts of about BATCH_CHARS characters together."""
+    start, chars = 0, 0
+    for k, x in enumerate(texts):
+        chars += len(x or "")
+        if chars > BATCH_CHARS or k + 1 == len(texts):
+            yield start, find_private(texts[start : k + 1], field)
+            start, chars = k + 1, 0
+
+
 def private_items(df: DataFrame, key: str, text: str, field: Field | None = None) -> DataFrame:
     """(`key`, kind, start_at, length) of every item of private data; one row per occurrence.
 
@@ -357,21 +367,26 @@ def private_items(df: DataFrame, key: str, text: str, field: Field | None = None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            start, chars = 0, 0
-            for k, x in enumerate(texts):
-                chars += len(x or "")
-                if chars > BATCH_CHARS or k + 1 == len(texts):
-                    found = find_private(texts[start : k + 1], shared.value)
-                    rows = [(start + i, kind, a, b - a) for i, items in enumerate(found) for a, b, kind in items]
-                    at, kinds, starts, sizes = zip(*rows, strict=True) if rows else ((), (), (), ())
-                    yield pa.RecordBatch.from_arrays([keys.take(pa.array(at, pa.int64())), pa.array(kinds, pa.string()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], [batch.schema.names[0], "kind", "start_at", "length"])
-                    start, chars = k + 1, 0
+            keys = batch.column(0)
+            for start, found in _in_batches(batch.column(1).to_pylist(), shared.value):
+                rows = [(start + i, kind, a, b - a) for i, items in enumerate(found) for a, b, kind in items]
+                at, kinds, starts, sizes = zip(*rows, strict=True) if rows else ((), (), (), ())
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(at, pa.int64())), pa.array(kinds, pa.string()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], [batch.schema.names[0], "kind", "start_at", "length"])
 
     kind = df.schema[key].dataType.simpleString()
     return spread(df.select(key, text)).mapInArrow(run, f"`{key}` {kind}, kind string, start_at bigint, length bigint")
 
 
+def _replaced(text: str | None, items: list[tuple[int, int, str]]) -> str | None:
+    if not items:
+        return text
+    parts, at = [], 0
+    for a, b, kind in items:
+        parts += [text[at:a], f"[{kind}]"]
+        at = b
+    return "".join(parts) + text[at:]
+
+
 def redacted(df: DataFrame, key: str, text: str, field: Field | None = None) -> DataFrame:
     """(`key`, `text`) with every item replaced by its type in brackets, such as [email]; the rest is unchanged.
 
@@ -379,22 +394,15 @@ def redacted(df: DataFrame, key: str, text: str, field: Field | None = None) ->
     """
     shared = df.sparkSession.sparkContext.broadcast(field or trained())
 
-    @F.pandas_udf("string")
-    def replace(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for x in batch:
-                if x is None or x != x:
-                    out.append(None)
-                    continue
-                parts, at = [], 0
-                for a, b, kind in find_private([x], shared.value)[0]:
-                    parts += [x[at:a], f"[{kind}]"]
-                    at = b
-                out.append("".join(parts) + x[at:])
-            yield pd.Series(out, dtype=object)
-
-    return spread(df.select(key, text)).select(key, replace(text).alias(text))
+            texts = batch.column(1).to_pylist()
+            for start, found in _in_batches(texts, shared.value):
+                plain = [_replaced(texts[start + i], items) for i, items in enumerate(found)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(found)), pa.array(plain, pa.string())], batch.schema.names)
+
+    kind = df.schema[key].dataType.simpleString()
+    return spread(df.select(key, text)).mapInArrow(run, f"`{key}` {kind}, `{text}` string")
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,3 +70,38 @@ def test_items_of_long_lines_wherever_they_stand(field):
     for n in range(44, 104, 3):
         text = "the ballot count in the county was late " * (n // 8) + "and " * (n % 8) + "It was Victoria F. Gravescura who first noticed that the count drifted. " + "the ballot count in the county was late " * 20
         assert [(text[a:b], k) for a, b, k in find_private([text], field)[0]] == [("Victoria F. Gravescura", "name")]
+
+
+#: Sentences, given names and surnames that stand neither in the labelled table nor in any of the given tables.
+UNSEEN = [
+    ("The tenants were represented by {}, while {} spoke for the landlord.", ["Kwame Okafor", "Ingrid Svensson"]), ("{} scored twice before halftime.", ["Rajesh Patel"]), ("After the storm, {} rebuilt the bakery.", ["Hiroshi Tanaka"]), ("Questions were answered by {} yesterday.", ["Carlos Mendez"]),
+    ("My neighbour {} found the wallet.", ["Fatima Hassan"]), ("I met {} and {} at the station.", ["Priya Raman", "Sarah Connor"]), ("Thanks go to {}, our oldest subscriber.", ["Thomas Jefferies"]), ("“Never again,” muttered {}.", ["Jennifer Aldous"]), ("The prize went to {} this spring.", ["Charles Whitmore"]),
+    ("Later that evening {} phoned the police.", ["Richard Blakely"]), ("For years {} collected stamps.", ["Joseph Marlowe"]), ("{} and {} are cousins.", ["Mei-Ling Chow", "Pablo Quintero"]), ("This essay was edited by {}.", ["Anneliese Vogt"]), ("Nurse {} filled in the chart.", ["Bronwyn Pugh"]),
+    ("The letter was addressed to {}, her landlord.", ["Otis Fairweather"]), ("We spoke to {} about the closure.", ["Nadia Petrescu"]), ("{}, the goalkeeper, apologised.", ["Lukas Brandt"]), ("She married {} in 1987.", ["Edmund Hargrave"]), ("On Friday {} resigned.", ["Simone Marchetti"]), ("According to {} and {}, it rained.", ["Ayesha Malik", "Duncan MacLeod"]), ("Yesterday {} thanked the volunteers.", ["Björn Halvorsen"]), ("{} declined to comment.", ["Gwendolyn Achterberg"]),
+]
+
+
+def test_names_and_sentences_that_no_table_has(field):
+    texts = [(frame.format(*names), names) for frame, names in UNSEEN]
+    found = find_private([t for t, _ in texts], field)
+    got = sum(n in [t[a:b] for a, b, k in items if k == "name"] for (t, names), items in zip(texts, found, strict=True) for n in names)
+    assert got >= 0.9 * sum(len(names) for _, names in texts), [t for (t, n), i in zip(texts, found, strict=True) if len(i) < len(n)]
+
+
+def test_other_items_that_no_table_has(field):
+    text = "Priya Raman lives at 77 Sunset Strip, dial 0161 496 0123 or mail priya.raman@letters.example."
+    assert [(text[a:b], k) for a, b, k in find_private([text], field)[0]] == [("Priya Raman", "name"), ("77 Sunset Strip", "address"), ("0161 496 0123", "phone"), ("priya.raman@letters.example", "email")]
+
+
+def test_sentences_of_the_table_are_not_those_of_the_documents(spark, small):
+    import re
+
+    from harvestry.llm.labelled import TEMPLATES
+
+    texts = "\n".join(r.text or "" for r in spark.read.parquet(f"{small}/documents.parquet").select("text").collect())
+    pieces = [p.strip() for t in TEMPLATES for p in re.split(r"\{\w\d?\}", t)]
+    assert [p for p in pieces if len(p) >= 24 and p in texts] == []
+
+
+def test_long_runs_of_digits_and_words_take_linear_time(field):
+    assert find_private(["1 " * 40_000 + ":", "a-" * 40_000, "x" * 100_000 + "@", "A" + " and A" * 20_000], field) is not None
