@@ -75,8 +75,8 @@ def test_items_of_long_lines_wherever_they_stand(field):
 #: Sentences, given names and surnames that stand neither in the labelled table nor in any of the given tables.
 UNSEEN = [
     ("The tenants were represented by {}, while {} spoke for the landlord.", ["Kwame Okafor", "Ingrid Svensson"]), ("{} scored twice before halftime.", ["Rajesh Patel"]), ("After the storm, {} rebuilt the bakery.", ["Hiroshi Tanaka"]), ("Questions were answered by {} yesterday.", ["Carlos Mendez"]),
-    ("My neighbour {} found the wallet.", ["Fatima Hassan"]), ("I met {} and {} at the station.", ["Priya Raman", "Sarah Connor"]), ("Thanks go to {}, our oldest subscriber.", ["Thomas Jefferies"]), ("“Never again,” muttered {}.", ["Jennifer Aldous"]), ("The prize went to {} this spring.", ["Charles Whitmore"]),
-    ("Later that evening {} phoned the police.", ["Richard Blakely"]), ("For years {} collected stamps.", ["Joseph Marlowe"]), ("{} and {} are cousins.", ["Mei-Ling Chow", "Pablo Quintero"]), ("This essay was edited by {}.", ["Anneliese Vogt"]), ("Nurse {} filled in the chart.", ["Bronwyn Pugh"]),
+    ("My neighbour {} found the wallet.", ["Fatima Hassan"]), ("I met {} and {} at the station.", ["Priya Raman", "Sarah Connor"]), ("Thanks go to {}, our oldest subscriber.", ["Percival Jefferies"]), ("“Never again,” muttered {}.", ["Maren Aldous"]), ("The prize went to {} this spring.", ["Leopold Whitmore"]),
+    ("Later that evening {} phoned the police.", ["Alistair Blakely"]), ("For years {} collected stamps.", ["Cedric Marlowe"]), ("{} and {} are cousins.", ["Mei-Ling Chow", "Pablo Quintero"]), ("This essay was edited by {}.", ["Anneliese Vogt"]), ("Nurse {} filled in the chart.", ["Bronwyn Pugh"]),
     ("The letter was addressed to {}, her landlord.", ["Otis Fairweather"]), ("We spoke to {} about the closure.", ["Nadia Petrescu"]), ("{}, the goalkeeper, apologised.", ["Lukas Brandt"]), ("She married {} in 1987.", ["Edmund Hargrave"]), ("On Friday {} resigned.", ["Simone Marchetti"]), ("According to {} and {}, it rained.", ["Ayesha Malik", "Duncan MacLeod"]), ("Yesterday {} thanked the volunteers.", ["Björn Halvorsen"]), ("{} declined to comment.", ["Gwendolyn Achterberg"]),
 ]
 
