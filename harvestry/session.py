@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,19 +31,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder of `spark.checkpoint.dir`; survives the loss of executors.
-
-    Only where that setting is missing (tests on one machine) is a folder of our own taken.
-    """
-    spark = df.sparkSession
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder of `spark.checkpoint.dir`, set as the session's. Only a local master gets one of its own if that is unset."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared folder of `spark.checkpoint.dir`; survives the loss of executors."""
+    _shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame, by: list[str]) -> DataFrame:
+    """`df` written to the shared folder, in directories `by` these columns, and read again."""
+    folder = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.partitionBy(*by).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def filled(column: Column | str, dash: bool = True) -> Column:
     """The value, or null where null, blank or `-` says that nothing is there."""
     c = F.col(column) if isinstance(column, str) else column
