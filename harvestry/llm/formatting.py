@@ -1,14 +1,16 @@
 """Problem 3: records that differ in formatting only, collapsed and counted.
 
-The canonical form of a record is hashed. Every task counts the hashes of its rows in a Bloom filter with two planes, one
-of places hit at least once and one of places hit again; the planes of all tasks are merged block by block. A record whose
-places are all in the merged second plane may be repeated and takes part in the exact grouping; all other records occur
-once and are never shuffled.
+The canonical form of a record is hashed once and written beside it, in segments by hash. For one segment after the other
+every task notes the places that its hashes hit in a Bloom filter with two planes, one of places hit at least once and one of
+places hit again; these places are merged block by block. A record whose places are all in the merged second plane may be
+repeated and takes part in the exact grouping; all other records occur once and are never shuffled. A plane never exceeds
+2 ** MOST_POWER bits: more records make more segments, not a fuller filter.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,88 +20,81 @@ from pyspark.sql import functions as F
 
 from ..functions.text import spelling_key
 from ..operators.skew import attach_groups
-from ..session import computed, filled, free_name, table
+from ..session import computed, filled, free_name, table, written
 
 #: Bits of a plane for each row, the bounds of its size as powers of 2 (the largest takes 32 MB), and places a hash hits.
 BITS_PER_ROW, LEAST_POWER, MOST_POWER, PLACES = 16, 16, 28, 3
-#: Bits of a block of the planes, which is what tasks send and merge.
-BLOCK_BITS = 1 << 16
+#: Bits of a block of the planes, which is what tasks merge; a place within a block takes two bytes. Rows noted at a time.
+BLOCK_BITS, ROWS_AT_A_TIME = 1 << 16, 1 << 20
+_MARKS = ["spelling_hash", "spelling_check", "spelling_segment"]
 
 
-def _places(hashes: np.ndarray, power: int) -> list[np.ndarray]:
-    """The places that each hash hits, by double hashing."""
+def _places(hashes: np.ndarray, power: int) -> np.ndarray:
+    """The places that each hash hits, by double hashing: one row of PLACES for each."""
     h = hashes.view(np.uint64)
     step = (h >> np.uint64(32)) | np.uint64(1)
     mask = np.uint64((1 << power) - 1)
-    return [((h + np.uint64(k) * step) & mask).astype(np.int64) for k in range(PLACES)]
+    return np.stack([((h + np.uint64(k) * step) & mask).astype(np.int64) for k in range(PLACES)], axis=1)
 
 
-def _count_planes(power: int):
-    """Per task: the two planes of its hashes as rows (block, once, again); equal places of one hash count once."""
+def _note_places(power: int):
+    """Per task: (block, once, again), the places within a block that its rows hit, and those that several rows hit."""
+
+    def note(hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        places = _places(hashes, power)
+        places.sort(axis=1)
+        first = np.ones(places.shape, bool)
+        first[:, 1:] = places[:, 1:] != places[:, :-1]  # equal places of one hash count once
+        found, hits = np.unique(places[first], return_counts=True)
+        blocks, starts = np.unique(found // BLOCK_BITS, return_index=True)
+        inner, several = (found % BLOCK_BITS).astype(np.uint16), hits > 1
+        ends = [*starts[1:], len(found)]
+        once = [inner[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
+        again = [inner[a:b][several[a:b]].tobytes() for a, b in zip(starts, ends, strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(once, pa.binary()), pa.array(again, pa.binary())], ["block", "once", "again"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, again = np.zeros((1 << power) // 8, np.uint8), np.zeros((1 << power) // 8, np.uint8)
+        waiting, rows = [], 0
         for batch in batches:
-            places = np.stack(_places(batch.column(0).to_numpy(zero_copy_only=False), power), axis=1)
-            places.sort(axis=1)
-            first = np.ones(places.shape, bool)
-            first[:, 1:] = places[:, 1:] != places[:, :-1]
-            found, hits = np.unique(places[first], return_counts=True)
-            _set(again, found[(hits > 1) | _get(once, found)])
-            _set(once, found)
-        yield from _blocks(once, again)
+            waiting.append(batch.column(0).to_numpy(zero_copy_only=False))
+            rows += batch.num_rows
+            if rows >= ROWS_AT_A_TIME:
+                yield from note(np.concatenate(waiting))
+                waiting, rows = [], 0
+        if rows:
+            yield from note(np.concatenate(waiting))
 
     return run
 
 
-def _get(plane: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return (plane[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1 == 1
-
-
-def _set(plane: np.ndarray, places: np.ndarray) -> None:
-    """Set the bits at `places`, which are sorted."""
-    if len(places):
-        at = places >> 3
-        starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        plane[at[starts]] |= np.bitwise_or.reduceat((128 >> (places & 7)).astype(np.uint8), starts)
-
-
-def _blocks(once: np.ndarray, again: np.ndarray) -> Iterator[pa.RecordBatch]:
-    size = BLOCK_BITS // 8
-    for at in range(0, len(once), size * 64):
-        blocks = [b for b in range(at // size, min(at // size + 64, -(-len(once) // size))) if once[b * size : (b + 1) * size].any()]
-        if blocks:
-            planes = [pa.array([p[b * size : (b + 1) * size].tobytes() for b in blocks], pa.binary()) for p in (once, again)]
-            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), *planes], ["block", "once", "again"])
-
-
-def _merge_planes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Merge the blocks that come to this task, one at a time: what two tasks hit once each is hit again."""
+def _merge_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Merge the blocks that come to this task: what two tasks hit once each is hit again."""
     kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for batch in batches:
         for block, once, again in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            o, a = np.frombuffer(once, np.uint8), np.frombuffer(again, np.uint8)
-            if block in kept:
-                o0, a0 = kept[block]
-                kept[block] = (o0 | o, a0 | a | (o0 & o))
-            else:
-                kept[block] = (o, a)
+            if block not in kept:
+                kept[block] = (np.zeros(BLOCK_BITS, bool), np.zeros(BLOCK_BITS, bool))
+            o, a = kept[block]
+            hit = np.frombuffer(once, np.uint16)
+            a[hit[o[hit]]] = True
+            a[np.frombuffer(again, np.uint16)] = True
+            o[hit] = True
     for block, (_, a) in kept.items():
         if a.any():
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([a.tobytes()], pa.binary())], ["block", "again"])
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([np.packbits(a).tobytes()], pa.binary())], ["block", "again"])
 
 
-def repeat_filter(hashes: DataFrame, column: str, rows: int):
-    """A broadcast (power, bits) of the places hit more than once by the hashes in `column`.
+def plane_power(rows: int) -> int:
+    return min(MOST_POWER, max(LEAST_POWER, int(np.ceil(np.log2(max(1, rows) * BITS_PER_ROW)))))
 
-    At most 2 ** MOST_POWER bits whatever the input; with more rows than that serves well, more records than needed pass
-    as possible repeats, and the exact grouping still decides.
-    """
+
+def repeat_filter(hashes: DataFrame, column: str, rows: int):
+    """A broadcast (power, bits) of the places hit more than once by the hashes in `column`; `rows` is about their number."""
     spark = hashes.sparkSession
-    power = min(MOST_POWER, max(LEAST_POWER, int(np.ceil(np.log2(max(1, rows) * BITS_PER_ROW)))))
-    blocks = hashes.select(column).mapInArrow(_count_planes(power), "block long, once binary, again binary")
-    merged = blocks.repartition("block").mapInArrow(_merge_planes, "block long, again binary")
-    bits = np.zeros((1 << power) // 8, np.uint8)
+    power = plane_power(rows)
+    noted = hashes.select(column).mapInArrow(_note_places(power), "block long, once binary, again binary")
+    merged = noted.repartition("block").mapInArrow(_merge_places, "block long, again binary")
+    bits = np.zeros(max(1 << power, BLOCK_BITS) // 8, np.uint8)
     for row in merged.toLocalIterator():
         bits[row.block * (BLOCK_BITS // 8) :][: BLOCK_BITS // 8] = np.frombuffer(row.again, np.uint8)
     return spark.sparkContext.broadcast((power, bits))
@@ -112,48 +107,56 @@ def may_repeat(known, column: Column) -> Column:
     def test(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         power, bits = known.value
         for batch in batches:
-            hit = np.ones(len(batch), bool)
-            for at in _places(batch.to_numpy(np.int64), power):
-                hit &= _get(bits, at)
-            yield pd.Series(hit)
+            at = _places(batch.to_numpy(np.int64), power)
+            yield pd.Series(((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1).all(axis=1))
 
     return test(column)
 
 
-def _split(rows: DataFrame, key: str, total: int) -> tuple[DataFrame, DataFrame]:
-    """(possible repeats, records that occur once) of rows with a non-null `key`; `total` is about their number."""
-    mark = free_name(rows, "key_hash")
-    hashed = rows.withColumn(mark, F.xxhash64(key))
-    known = repeat_filter(hashed, mark, total)
-    flag = free_name(hashed, "possible_repeat")
-    marked = hashed.withColumn(flag, may_repeat(known, F.col(mark)))
-    return marked.filter(F.col(flag)).drop(mark, flag), marked.filter(~F.col(flag)).drop(mark, flag)
+def _hashed(df: DataFrame, key: Column, total: int, columns: list[str] | None = None) -> tuple[DataFrame, int]:
+    """`columns` of `df` written with the hashes of `key` (two, together 128 bits) in segments; the number of segments."""
+    segments = max(1, -(-total * BITS_PER_ROW // (1 << MOST_POWER)))
+    name, (hashed, check, segment) = free_name(df, "spelling"), _MARKS
+    rows = computed(df, {name: key})
+    known = F.col(name).isNotNull()
+    rows = rows.select(*(columns or df.columns), F.when(known, F.xxhash64(name)).alias(hashed), F.when(known, F.xxhash64(F.lit("check"), F.col(name))).alias(check))
+    return written(rows.withColumn(segment, F.pmod(F.col(check), F.lit(segments)).cast("int")), [segment]), segments
+
+
+def _split(rows: DataFrame, segments: int, total: int) -> tuple[DataFrame, DataFrame]:
+    """(possible repeats, records that occur once) of rows that `_hashed` has written, one segment after the other."""
+    hashed, _, segment = _MARKS
+    possible, single = [], []
+    for k in range(segments):
+        own = rows.filter(F.col(segment) == k)
+        marked = own.withColumn("spelling_repeats", may_repeat(repeat_filter(own, hashed, -(-total // segments)), F.col(hashed)))
+        possible.append(marked.filter("spelling_repeats").drop("spelling_repeats"))
+        single.append(marked.filter("not spelling_repeats").drop("spelling_repeats"))
+    return reduce(DataFrame.unionByName, possible), reduce(DataFrame.unionByName, single)
 
 
 def collapse_spellings(df: DataFrame, key: Column, order: str) -> DataFrame:
     """One row per record apart from formatting: the row with the smallest `order` (unique), and its number of `copies`.
 
     Rows whose key is null stay, each with one copy: nothing says what they are equal to. An empty table gives an empty
-    one. Other columns stay whatever their names, `copies` excepted.
+    one. Other columns stay whatever their names, `copies` and those that begin with `spelling_` excepted.
     """
-    name = free_name(df, "spelling")
-    rows = computed(df, {name: key})
-    keyed = rows.filter(F.col(name).isNotNull())
-    possible, single = _split(keyed, name, df.count())
-    groups = possible.groupBy(name).agg(F.min(order).alias(order), F.count("*").alias("copies")).drop(name)
-    survivors = possible.drop(name).join(groups, order)
-    alone = single.unionByName(rows.filter(F.col(name).isNull())).drop(name).withColumn("copies", F.lit(1).cast("long"))
-    return survivors.unionByName(alone)
+    total = df.count()
+    rows, segments = _hashed(df, key, total)
+    possible, single = _split(rows, segments, total)
+    groups = possible.groupBy(*_MARKS[:2]).agg(F.min(order).alias(order), F.count("*").alias("copies")).drop(*_MARKS)
+    survivors = possible.join(groups, order)
+    alone = single.unionByName(rows.filter(F.col(_MARKS[0]).isNull())).withColumn("copies", F.lit(1).cast("long"))
+    return survivors.unionByName(alone).select(*df.columns, "copies")
 
 
 def hidden_copies(df: DataFrame, key: Column, order: str) -> DataFrame:
     """(first_`order`, `order`) of each record that repeats another apart from formatting; see `collapse_spellings`."""
-    name = free_name(df, "spelling")
-    rows = computed(df, {name: key}).select(F.col(name).alias("spelling"), order).filter(F.col("spelling").isNotNull())
     total = df.count()
-    possible, _ = _split(rows, "spelling", total)
-    groups = possible.groupBy("spelling").agg(F.min(order).alias(f"first_{order}"), F.count("*").alias("copies")).filter("copies > 1")
-    members = attach_groups(possible, groups, ["spelling"], "copies", total)
+    rows, segments = _hashed(df, key, total, [order])
+    possible, _ = _split(rows, segments, total)
+    groups = possible.groupBy(*_MARKS[:2]).agg(F.min(order).alias(f"first_{order}"), F.count("*").alias("copies")).filter("copies > 1")
+    members = attach_groups(possible, groups, _MARKS[:2], "copies", total)
     return members.filter(F.col(order) != F.col(f"first_{order}")).select(f"first_{order}", order)
 
 

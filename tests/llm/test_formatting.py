@@ -56,12 +56,23 @@ def test_filter_never_misses_a_repeat(spark):
 
 
 def test_full_filter_stays_exact(spark, monkeypatch):
-    monkeypatch.setattr(formatting, "LEAST_POWER", 6)
-    monkeypatch.setattr(formatting, "MOST_POWER", 6)
+    monkeypatch.setattr(formatting, "plane_power", lambda rows: 6)
     df = frame(spark, [f"u{i % 400}" for i in range(500)])
     assert hidden_copies(df, spelling_key(F.col("url")), "seq").count() == 100
 
 
+def test_small_segments_stay_exact_and_pass_little_but_repeats(spark, monkeypatch):
+    monkeypatch.setattr(formatting, "LEAST_POWER", 13)
+    monkeypatch.setattr(formatting, "MOST_POWER", 13)
+    texts = ["hot"] * 1000 + [f"u{i}" for i in range(3000)] + [f"u{i}" for i in range(200)]
+    df, key = frame(spark, texts), spelling_key(F.col("url"))
+    rows, segments = formatting._hashed(df, key, len(texts))
+    possible, single = formatting._split(rows, segments, len(texts))
+    assert segments == 9 and possible.count() + single.count() == len(texts) and possible.count() < 1400 + 300
+    assert hidden_copies(df, key, "seq").count() == 999 + 200
+    assert collapse_spellings(df, key, "seq").count() == 3001
+
+
 def test_empty_and_long(spark):
     key = spelling_key(F.col("url"))
     assert hidden_copies(frame(spark, ["a"]).filter("false"), key, "seq").count() == 0
