@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,3 +24,18 @@ def attach_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str
     in_hot = rows.join(F.broadcast(hot), keys)
     in_cold = rows.join(F.broadcast(marks), keys, "left_anti").join(cold, keys)
     return in_hot.unionByName(in_cold)
+
+
+def look_up(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of `rows` to `groups` (at most one row per `keys`), whatever share of the rows one key holds.
+
+    The rows of each key are counted first; keys of more than 1 / HOT_GROUPS of all rows number less than HOT_GROUPS, so
+    these are broadcast with what `groups` has for them. Rows with a null key find nothing and aren't shuffled.
+    """
+    complete = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    keyed = rows.filter(complete)
+    total = keyed.count()
+    hot = keyed.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") * HOT_GROUPS > total).drop("__n")
+    in_hot = keyed.join(F.broadcast(hot.join(groups, keys, "left")), keys)
+    in_cold = keyed.join(F.broadcast(hot), keys, "left_anti").join(groups, keys, "left")
+    return in_hot.unionByName(in_cold).unionByName(rows.filter(~complete), allowMissingColumns=True)

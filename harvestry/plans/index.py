@@ -133,15 +133,20 @@ _DUPLICATES = """with r as (select {k}, url, host, seq, row_number() over (parti
     select {k}, count(*) as url_count, count(distinct host) as host_count, array_to_string(list(coalesce(url, '') order by seq) filter (nth <= 5), ' ') as sample_urls from r group by {k} having count(*) > 1"""
 _SCORE = "(case when trim(title) <> '' then 1 else 0 end + case when trim(byline) <> '' then 1 else 0 end + case when trim(published_at) <> '' then 1 else 0 end)"
 _HTML = "latest_status = '200' and latest_mimetype = 'text/html'"
+_PROJECTS = f"""u as (select rollup_key, url, min(seq) as place, first(canonical_key order by seq) as canonical_key, first(host order by seq) as host, first(path order by seq) as path from url_records where kind = 'project' and coalesce(url, '') <> '' and {_QUALIFIES} group by 1, 2),
+        l as (select rollup_key, list({{'url': url, 'canonical_key': canonical_key, 'host': host, 'path': path}} order by place, url) as rows from u group by 1),
+        k as (select rollup_key, list_reduce(rows, lambda a, b: case when len(string_split(b.url, '/')) < len(string_split(a.url, '/')) or (len(string_split(b.url, '/')) = len(string_split(a.url, '/')) and length(b.url) < length(a.url)) or (ends_with(b.url, '/') and not ends_with(a.url, '/')) then b else a end) as won from l),
+        projects as (select rollup_key, won.url as url, won.canonical_key as canonical_key, won.host as host, won.path as path from k)"""
 SQL = {
     "a1_index": _INDEX,
-    "a2_pages": f"""with q as (select * from url_records where kind in ('article', 'liveblog', 'podcast', 'video', 'methodology') and {_QUALIFIES}),
-        r as (select *, row_number() over (partition by rollup_key order by len(string_split(url, '/')), length(url), seq) as short, row_number() over (partition by rollup_key order by coalesce(last_seen_ts, '') desc, seq) as late,
-        row_number() over (partition by rollup_key order by seq) as early from q)
-        select rollup_key, max(case when early = 1 then kind end) as kind, max(case when short = 1 then url end) as url, min(nullif(first_seen_ts, '')) as first_seen_ts, max(nullif(last_seen_ts, '')) as last_seen_ts, count(*) as member_url_count,
-        max(case when late = 1 then latest_status end) as latest_status, max(case when late = 1 then latest_mimetype end) as latest_mimetype from r group by rollup_key""",
-    "a3_project_address": f"""with u as (select rollup_key, url, min(seq) as place from url_records where kind = 'project' and {_QUALIFIES} group by 1, 2), l as (select rollup_key, list(url order by place, url) as urls from u group by 1)
-        select rollup_key, list_reduce(urls, lambda a, b: case when (case when ends_with(b, '/') <> ends_with(a, '/') then ends_with(b, '/') when len(string_split(b, '/')) <> len(string_split(a, '/')) then len(string_split(b, '/')) < len(string_split(a, '/')) else length(b) < length(a) end) then b else a end) as url from l""",
+    "a2_pages": f"""with q as (select *, len(string_split(url, '/')) as slashes from url_records where kind in ('article', 'liveblog', 'podcast', 'video', 'methodology', 'project') and {_QUALIFIES}),
+        r as (select *, row_number() over (partition by rollup_key order by coalesce(url, '') = '', slashes, length(url), seq) as short, row_number() over (partition by rollup_key order by coalesce(last_seen_ts, '') desc, seq) as late,
+        row_number() over (partition by rollup_key order by seq) as early from q), {_PROJECTS},
+        g as (select rollup_key, max(case when early = 1 then kind end) as kind, {", ".join(f"max(case when short = 1 then {c} end) as {c}" for c in ("url", "canonical_key", "host", "path"))}, min(nullif(first_seen_ts, '')) as first_seen_ts, max(nullif(last_seen_ts, '')) as last_seen_ts, count(*) as member_url_count,
+        max(case when late = 1 then latest_status end) as latest_status, max(case when late = 1 then latest_mimetype end) as latest_mimetype from r group by rollup_key)
+        select g.rollup_key, kind, {", ".join(f"case when kind = 'project' and p.url is not null then p.{c} else g.{c} end as {c}" for c in ("url", "canonical_key", "host", "path"))}, first_seen_ts, last_seen_ts, member_url_count, latest_status, latest_mimetype
+        from g left join projects p on p.rollup_key = g.rollup_key""",
+    "a3_project_address": f"with {_PROJECTS} select * from projects",
     "a4_kept_by_kind": f"select kind, count(*) as n from url_records where {_QUALIFIES} group by kind",
     "a5_duplicate_digests": _DUPLICATES.format(k="latest_digest"),
     "a5_duplicate_keys": _DUPLICATES.format(k="canonical_key"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, urls
 from ..functions.text import strip_blank
 from ..operators.choose import first_rows, last_row_wins
+from ..operators.skew import look_up
 from ..session import table
 from .index import path_sql
 from .site import _CREDITS, _credits
@@ -25,10 +26,9 @@ def s15_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s23_players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages with a player of each audio file, in the order they were first seen."""
+    """The pages with a player of each audio file, with the seq that orders them: one row for each, so that no list grows long."""
     rows = table(spark, sf_dir, "podcast_metadata").filter("player_url <> '' and mp3_url <> ''")
-    pairs = rows.groupBy("mp3_url", "player_url").agg(F.min("seq").alias("seq"))
-    return first_rows(pairs, ["mp3_url"], [F.asc("seq")]).select("mp3_url", "player_url", "seq")
+    return rows.groupBy("mp3_url", "player_url").agg(F.min("seq").alias("seq"))
 
 
 def f3_fetchable(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,8 +102,8 @@ def a36_curation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def j10_archived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = last_row_wins(table(spark, sf_dir, "enriched").filter("http_status = '200' and wayback_url is not null").select("seq", F.col("url").alias("at"), "wayback_url"), ["at"], "seq").drop("seq")
-    return table(spark, sf_dir, "site_records").join(log, F.col("url") == F.col("at"), "left").select("seq", F.coalesce("wayback_url", F.lit("")).alias("archive_url"))
+    log = last_row_wins(table(spark, sf_dir, "enriched").filter("http_status = '200' and wayback_url is not null").select("seq", "url", "wayback_url"), ["url"], "seq").drop("seq")
+    return look_up(table(spark, sf_dir, "site_records").select("seq", "url"), log, ["url"]).select("seq", F.coalesce("wayback_url", F.lit("")).alias("archive_url"))
 
 
 def j17_review(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,7 +204,7 @@ _LISTED = "list_filter(list_transform(string_split(authors, ';'), lambda a: trim
 SQL = {
     "s8_shards": "select host, unnest(generate_series(a, greatest(a, b)))::int as year from (select host, min(left(first_seen_ts, 4))::int as a, max(left(last_seen_ts, 4))::int as b from url_records where regexp_full_match(first_seen_ts, '[0-9]{14}') and regexp_full_match(last_seen_ts, '[0-9]{14}') group by 1)",
     "s15_subjects": "select subject, count(*) as n from (select trim(unnest(string_split(subject, ';'))) as subject from podcast_metadata) where subject <> '' group by 1",
-    "s23_players": "select mp3_url, arg_min(player_url, seq) as player_url, min(seq) as seq from podcast_metadata where player_url <> '' and mp3_url <> '' group by 1",
+    "s23_players": "select mp3_url, player_url, min(seq) as seq from podcast_metadata where player_url <> '' and mp3_url <> '' group by 1, 2",
     "f3_fetchable": r"select coalesce(regexp_matches(url, 'sitemap.*\.xml(\.gz)?$', 'i') or contains(latest_mimetype, 'xml') and contains(url, 'sitemap'), false) as sitemap, kind, count(*) as n from url_records where (coalesce(latest_status, '') in ('', '-') or latest_status like '2__') and coalesce(last_seen_ts, '') <> '' group by 1, 2",
     "f5_years": "select left(first_seen_ts, 4) as year, host, count(*) as n from url_records where left(first_seen_ts, 4) between '2012' and '2016' group by 1, 2",
     "f6_junk": "select seq, id from site_records where kind = 'project' and regexp_full_match(regexp_extract(id, '([^/:]+)$', 1), 'embed|promo|lakes|coast') or kind = 'liveblog' and lower(title) = 'headline'",

@@ -11,6 +11,7 @@ from ..operators.choose import first_rows, last_row_wins, unique_or_nothing
 from ..operators.lookups import lookup_with_fallback, overlay, pending
 from ..operators.resolve import resolve_articles
 from ..operators.search import inverted_index, matches
+from ..operators.skew import look_up
 from ..session import computed, table
 from .index import SQL as INDEX_SQL
 from .index import a8_best_enriched
@@ -83,13 +84,13 @@ def j21_backfilled_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = table(spark, sf_dir, "feed_entries").filter("title is not null and published_at is not null")
     known = unique_or_nothing(feed.select(F.explode(titles.plain_keys(F.col("title"))).alias("k"), "published_at"), F.col("k"), F.col("published_at"))
     keys = episodes.filter("title is not null").select("seq", F.explode(titles.plain_keys(F.col("title"))).alias("key"))
-    dated = keys.join(known, "key").groupBy("seq").agg(F.min("value").alias("date"))
+    dated = look_up(keys, known, ["key"]).groupBy("seq").agg(F.min("value").alias("date"))
     return episodes.select("seq").join(dated, "seq", "left")
 
 
 def j22_overlaid(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = first_rows(table(spark, sf_dir, "feed_entries").filter("url <> ''"), ["url"], [F.desc("seq")]).select("url", F.col("title").alias("feed_title"), F.col("byline").alias("feed_byline"))
-    rows = table(spark, sf_dir, "enriched").select("seq", "url", "title", "byline").join(feed, "url", "left")
+    rows = look_up(table(spark, sf_dir, "enriched").select("seq", "url", "title", "byline"), feed, ["url"])
     return rows.select("seq", overlay(F.col("title"), F.col("feed_title")).alias("title"), overlay(F.col("byline"), F.col("feed_byline")).alias("byline"))
 
 
@@ -101,7 +102,7 @@ def a11_resolved_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def a13_project_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "site_records").filter("kind = 'project'").select("seq", "title", titles.drilldown_suffix(F.col("id")).alias("suffix"))
     shared = rows.filter("title is not null").groupBy("title").agg(F.count("*").alias("n")).filter("n > 1")
-    joined = rows.join(shared, "title", "left")
+    joined = look_up(rows, shared, ["title"])
     add = F.col("n").isNotNull() & (F.col("suffix") != "") & ~F.contains(F.lower("title"), F.lower("suffix"))
     return joined.select("seq", F.when(add, F.concat("title", F.lit(": "), "suffix")).otherwise(F.col("title")).alias("title"))
 
@@ -150,7 +151,7 @@ def a29_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "podcast_metadata").select("seq", titles.identifier(F.col("show_slug"), F.col("title")).alias("base"), F.coalesce("mp3_url", F.lit("")).alias("mp3"))
     shared = rows.groupBy("base").agg(F.count("*").alias("n")).filter("n > 1")
     made = F.when(F.col("n").isNotNull(), F.concat(F.left("base", F.lit(91)), F.lit("-"), F.left(F.sha2("mp3", 256), F.lit(8)))).otherwise(F.col("base"))
-    return rows.join(shared, "base", "left").select("seq", made.alias("identifier"))
+    return look_up(rows, shared, ["base"]).select("seq", made.alias("identifier"))
 
 
 def a32_routes(spark: SparkSession, sf_dir: str) -> DataFrame:

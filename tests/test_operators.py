@@ -12,7 +12,7 @@ from harvestry.operators.choose import first_rows, last_row_wins, most_frequent,
 from harvestry.operators.lookups import lookup_with_fallback, overlay, pending
 from harvestry.operators.resolve import resolve_articles
 from harvestry.operators.search import inverted_index, matches
-from harvestry.operators.skew import attach_groups
+from harvestry.operators.skew import attach_groups, look_up
 
 
 def test_first_rows_ties_nulls_and_hot_group(spark):
@@ -79,19 +79,30 @@ def test_merged_index_keeps_first_at_ties_and_ignores_blank_times(spark):
 
 
 def test_project_address_folds_in_order(spark):
-    urls_in_order = ["http://p/a/b", "http://p/a/bc/", "http://p/a/", "http://p/x/"]
-    rows = [("k", u, "project", "200", "text/html", "cdx", i) for i, u in enumerate(urls_in_order)]
-    df = spark.createDataFrame(rows + rows[:1], "rollup_key string, url string, kind string, latest_status string, latest_mimetype string, source string, seq int")
+    rng = random.Random(8)
+    rows, kept = [], {}
 
     def better(new, old):
-        if new.endswith("/") != old.endswith("/"):
-            return new.endswith("/")
-        return (new.count("/"), len(new)) < (old.count("/"), len(old))
-
-    kept = urls_in_order[0]
-    for u in urls_in_order[1:]:
-        kept = u if better(u, kept) else kept
-    assert [r.url for r in project_address(df, "seq").collect()] == [kept]
+        a, b = (new.count("/"), len(new)), (old.count("/"), len(old))
+        return a < b or (new.endswith("/") and not old.endswith("/"))
+
+    for k in range(60):
+        urls = list(dict.fromkeys("http://p/" + "/".join(rng.choice(("a", "bb", "ccc")) for _ in range(rng.randint(1, 4))) + rng.choice(("", "/")) for _ in range(rng.randint(1, 12))))
+        for i, u in enumerate(urls):
+            rows.append((f"k{k}", u, f"c{i}", "h", "/p", "project", "200", "text/html", "cdx", len(rows)))
+            kept[f"k{k}"] = u if i == 0 or better(u, kept[f"k{k}"]) else kept[f"k{k}"]
+    df = spark.createDataFrame(rows + rows[:1], "rollup_key string, url string, canonical_key string, host string, path string, kind string, latest_status string, latest_mimetype string, source string, seq int")
+    assert {r.rollup_key: r.url for r in project_address(df, "seq").collect()} == kept
+    assert project_address(df.filter("false"), "seq").count() == 0
+
+
+def test_look_up_of_hot_and_null_keys(spark):
+    rows = [("hot", i) for i in range(500)] + [("cold", 500), ("none", 501), (None, 502)]
+    df = spark.createDataFrame(rows, "k string, n int")
+    groups = spark.createDataFrame([("hot", 1), ("cold", 2), ("other", 3)], "k string, v int")
+    out = look_up(df, groups, ["k"]).collect()
+    assert sorted((r.n, r.k, r.v) for r in out if r.k) == sorted((n, k, {"hot": 1, "cold": 2}.get(k)) for k, n in rows if k)
+    assert [(r.n, r.v) for r in out if r.k is None] == [(502, None)]
 
 
 def test_duplicate_groups_sample_in_order(spark):
