@@ -70,6 +70,11 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return computed(table(spark, sf_dir, "curated"), {"page_rollup": spelling_key(F.col("rollup_key")), "page_key": spelling_key(F.col("canonical_key"))})
 
 
+def _short(key: Column | str) -> Column:
+    """A key by its digest of 128 bits, for groups that only its rows are wanted of."""
+    return F.unhex(F.md5(key))
+
+
 def _moment(ts: Column) -> Column:
     """The time of a 14-digit stamp, else null."""
     return F.try_to_timestamp(F.when(ts.rlike(r"^\d{14}$"), ts), F.lit("yyyyMMddHHmmss"))
@@ -82,7 +87,7 @@ def _age(at: Column, day: Column | str = ORDER_DAY, missing: float = ORDER_MISSI
 
 
 def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(page_rollup, title_seq): the enriched row whose title survives for each rollup key.
+    """(page_rollup, title_seq): the enriched row whose title survives for each rollup key, which is given by its digest.
 
     Blank titles and residue (problem 1) don't stand; status 200 comes first, then the latest snapshot as an instant
     (none last), then the smallest seq.
@@ -91,7 +96,7 @@ def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = flagged.filter(~F.col("residue") & filled("title").isNotNull() & (strip_blank(F.col("title")) != "") & F.col("rollup_key").isNotNull())
     parsed = parse_times(rows.select("seq", "rollup_key", F.coalesce(F.trim("http_status") == "200", F.lit(False)).alias("ok"), "snapshot_timestamp"), "snapshot_timestamp")
     instant = F.coalesce(stated_instant(parsed), in_utc(F.col("t_local"), "UTC"), F.try_to_timestamp("t_date", F.lit("yyyy[-MM[-dd]]"))).cast("timestamp")
-    keyed = parsed.select(spelling_key(F.col("rollup_key")).alias("page_rollup"), "seq", F.when(F.col("ok"), LEVEL).otherwise(1.0).alias("level"), _age(instant).alias("age"))
+    keyed = parsed.select(_short(spelling_key(F.col("rollup_key"))).alias("page_rollup"), "seq", F.when(F.col("ok"), LEVEL).otherwise(1.0).alias("level"), _age(instant).alias("age"))
     long = unpivot(keyed, ["page_rollup"], "seq", {"title_seq": (F.lit(True), F.col("seq"), F.col("level"), F.col("age"), F.lit(0))})
     return elect(weighted_votes(long, ["page_rollup"], ORDER_HALF_LIFE), ["page_rollup"], ["title_seq"])
 
@@ -99,7 +104,7 @@ def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_rollup, page_key, first_seq, url_seq, seen_seq, count_seq) of every page with two or more curated rows.
 
-    Every row votes for itself, with a trust of LEVEL to the power of its rank.
+    Keys are given by their digests. Every row votes for itself, with a trust of LEVEL to the power of its rank.
     """
     none, zero, seq = F.lit(0), F.lit(0.0), F.col("seq")
     seen, size = _age(_moment(F.col("last_seen_ts"))), F.coalesce(F.col("member_url_count"), none)
@@ -113,7 +118,8 @@ def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "count_seq": (F.col("member_url_count").isNotNull(), seq, F.col("member_url_count"), zero, none),
     }
     group = ["page_rollup", "page_key"]
-    votes = weighted_votes(unpivot(_pages(spark, sf_dir), group, "seq", fields), group, ORDER_HALF_LIFE)
+    pages = _pages(spark, sf_dir).withColumns({c: _short(c) for c in group})
+    votes = weighted_votes(unpivot(pages, group, "seq", fields), group, ORDER_HALF_LIFE)
     return elect(votes, group, list(fields), also=[F.count_if(F.col("field") == "first_seq").alias("rows")]).filter("rows > 1").drop("rows")
 
 
