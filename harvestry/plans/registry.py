@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import formats, index, pages, problems, site, values
+from . import formats, index, pages, problems, published, site, values
 
-MODULES = [problems, index, values, site, formats, pages]
+MODULES = [problems, index, values, site, formats, pages, published]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -10,6 +10,8 @@ from harvestry.functions import titles, urls
 from harvestry.operators.captures import duplicate_groups, merged_index, project_address
 from harvestry.operators.choose import first_rows, last_row_wins, most_frequent, spaced_days, top_counts, unique_or_nothing
 from harvestry.operators.lookups import lookup_with_fallback, overlay, pending
+from harvestry.operators.orders import entry_order, episode_order
+from harvestry.operators.repairs import fill_blanks, take_longer
 from harvestry.operators.resolve import resolve_articles
 from harvestry.operators.search import inverted_index, matches
 from harvestry.operators.skew import attach_groups, look_up
@@ -173,3 +175,20 @@ def test_ordered_lists_are_whole(spark, small):
     groups = queries["o3_all_groups"](spark, small).collect()
     assert len(groups) == spark.read.parquet(f"{small}/url_records.parquet").groupBy("canonical_key").count().filter("count > 1").count()
     assert groups[:100] == queries["o3_largest_groups"](spark, small).collect()
+
+
+def test_orders_of_lists(spark):
+    rows = [(1, "2016-01-02", "beta"), (2, "", "Álpha"), (3, None, "alpha"), (4, "2015-01-01", "Beta"), (5, "2016-01-02", None)]
+    df = spark.createDataFrame(rows, "seq int, date string, title string")
+    seqs = lambda order: [r.seq for r in df.orderBy(*order).collect()]
+    assert seqs(entry_order("date", True)) == [1, 5, 4, 2, 3] and seqs(entry_order("date", False)) == [4, 1, 5, 2, 3]
+    assert seqs(entry_order("title", False)) == [5, 2, 3, 1, 4] and seqs(entry_order("title", True)) == [1, 4, 2, 3, 5]
+    assert seqs(episode_order("date", False)) == [4, 5, 1, 3, 2] and seqs(episode_order("date", True)) == [3, 2, 5, 1, 4]
+
+
+def test_repairs_mend_and_never_spoil(spark):
+    rows = [(None, "x"), ("", "x"), (" ", None), ("a", "x"), (None, None)]
+    df = spark.createDataFrame(rows, "v string, n string")
+    assert [r[0] for r in df.select(fill_blanks(F.col("v"), F.col("n"))).collect()] == ["x", "x", " ", "a", None]
+    dates = spark.createDataFrame([("2016", "2016-05"), ("2016-05", "2016"), (None, "2016"), ("2016", None), ("2016", "2017")], "v string, n string")
+    assert [r[0] for r in dates.select(take_longer(F.col("v"), F.col("n"))).collect()] == ["2016-05", "2016-05", "2016", "2016", "2016"]
