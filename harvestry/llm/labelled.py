@@ -274,6 +274,8 @@ Gezeichnet {N}
 Quedan {D} votos. La cifra de {T} es {w}. Si no, nada.
 {M} It’s {w}. {M} L’idée est {w}.
 {N} {v} {w} {w}.
+{N} {v} at {A}, {v} {P} or {v} {E}.
+{N} {v} near {A}.
 {N} {v} {v} before {w} {v}.
 {N} and {N} {w} {v}.
 The {w} {v} {N} {v} the {w}.

@@ -32,9 +32,18 @@ _DOT = r"(?:\.|\s?[(\[{]\s?(?:dot|\.)\s?[)\]}]\s?|\s+(?:dot|DOT)\s+)"
 EMAIL = rf"(?<![\w.+%-])\w[\w.+%-]*(?<![.-]){_AT}[^\W_][\w-]*(?:{_DOT}[^\W_][\w-]*)+"
 #: Groups of digits; every group is checked where it ends, so that no long run is read twice.
 _NUMBER = r"\+?\(?\d++\)?(?![\w:])(?:[  ./-]\(?\d++\)?(?![\w:]))*+"
-TOKENS = re.compile(
-    rf"(?:https?://|www\.)[^\s<>\"]+|(?P<e>{EMAIL})|(?<!\w)@\w+|\d{{4}}-\d\d-\d\d(?!\d)|\d{{1,2}}:\d\d(?::\d\d)?(?!\d)|{_NUMBER}|(?=[^\W\d]*+\d)\w++(?:-(?=[^\W\d]*+\d)\w++)*+|[^\W\d_]+(?:[’'-][^\W\d_]+)*|[^\w\s]|_+|\w",
-)
+_URL, _WORD = r"(?:https?://|www\.)[^\s<>\"]+", r"[^\W\d_]+(?:[’'-][^\W\d_]+)*"
+_REST = rf"(?<!\w)@\w+|\d{{4}}-\d\d-\d\d(?!\d)|\d{{1,2}}:\d\d(?::\d\d)?(?!\d)|{_NUMBER}|(?=[^\W\d]*+\d)\w++(?:-(?=[^\W\d]*+\d)\w++)*+|{_WORD}|[^\w\s]|_+|\w"
+TOKENS = re.compile(rf"{_URL}|(?P<e>{EMAIL})|{_REST}")
+#: The same tokens, faster: for lines that can hold no mail address, most of which are words.
+PLAIN_TOKENS = re.compile(rf"{_URL}|[^\W\d_]++(?![\d_])(?:[’'-][^\W\d_]+)*|{_REST}")
+MAY_HOLD_MAIL = re.compile(r"@|＠|&#64;|[(\[{<]\s?at\s?[)\]}>]|\sAT\s|\sat\s+(?=[\w-]+(?:\s+dot\s|\s?[(\[{]\s?(?:dot|\.)\s?[)\]}]))")
+
+
+def tokens_in(line: str) -> Iterator[re.Match]:
+    return (TOKENS if MAY_HOLD_MAIL.search(line) else PLAIN_TOKENS).finditer(line)
+
+
 _GIVEN = set(NICKNAMES) | {s for v in NICKNAMES.values() for s in v.split()}
 #: Words of streets, and of institutions and laws.
 STREET_WORDS = set("st street rd road ave avenue ln lane dr drive blvd boulevard way terrace court ct place rue calle c avenida plaza straße strasse weg allee platz tor gasse chemin quai paseo".split())
@@ -150,7 +159,7 @@ class Field:
 
 def _labelled(text: str, marks: list[tuple[int, int, str]]) -> tuple[list[str], list[int]]:
     tokens, labels = [], []
-    for m in TOKENS.finditer(text):
+    for m in tokens_in(text):
         tokens.append(m.group())
         kind = next((x for x in marks if x[0] <= m.start() < x[1]), None)
         if kind is None:
@@ -262,7 +271,7 @@ def find_private(texts: list[str | None], field: Field) -> list[list[tuple[int,
     for k, text in enumerate(texts):
         offset = 0
         for line in re.split(r"(?<=[\n\r \x0b\x0c])", text or ""):
-            tokens = [m.group() for m in TOKENS.finditer(line)] if line.strip() else []
+            tokens = [m.group() for m in tokens_in(line)] if line.strip() else []
             if tokens:
                 lines.append((k, offset, line))
                 sequences.append(list(map(field.row, tokens)))
@@ -271,7 +280,7 @@ def find_private(texts: list[str | None], field: Field) -> list[list[tuple[int,
     for (k, offset, line), labels in zip(lines, field.decode(sequences), strict=True):
         if not labels.any():
             continue
-        spans = [m.span() for m in TOKENS.finditer(line)]
+        spans = [m.span() for m in tokens_in(line)]
         t = 0
         while t < len(labels):
             if labels[t] == 0:

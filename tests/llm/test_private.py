@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from harvestry.llm.labelled import labelled_sentences
-from harvestry.llm.private import LABELS, find_private, private_items, redacted, trained
+from harvestry.llm.private import LABELS, MAY_HOLD_MAIL, PLAIN_TOKENS, TOKENS, find_private, private_items, redacted, trained
 
 TEXT = "By Olivia Sabgatti\nMy cell is 346.555.0156, text me anytime. Write to glesdale AT mailbox dot example. The affidavit lists Dan Zarmura, 907 13 6282, 7742 3rd Terrace, Viboweyo. Precinct 1-71 reported late (order no. 954-85-9095)."
 
@@ -105,3 +105,9 @@ def test_sentences_of_the_table_are_not_those_of_the_documents(spark, small):
 
 def test_long_runs_of_digits_and_words_take_linear_time(field):
     assert find_private(["1 " * 40_000 + ":", "a-" * 40_000, "x" * 100_000 + "@", "A" + " and A" * 20_000], field) is not None
+
+
+def test_plain_lines_give_the_same_tokens():
+    lines = ["It’s a co-op, isn’t it? 3rd-quarter a1-b2 x_y _ abc123 12-ab www.x.example/a http://y 2016-01-02 12:30 +1 (212) 555-0199 é-É ünder_score don’t5", *UNSEEN[0][1], "a" * 1000 + "1"]
+    assert not any(MAY_HOLD_MAIL.search(x) for x in lines)
+    assert all([m.span() for m in TOKENS.finditer(x)] == [m.span() for m in PLAIN_TOKENS.finditer(x)] for x in lines)
