@@ -49,50 +49,71 @@ NEVER_HEADLINES = r"\b(?:page|seite|página|site|headline|title|untitled|null|no
 SITE_NAMES = ("tallyboard",)
 
 
-def plain_title(title: Column, sites: tuple[str, ...] = SITE_NAMES) -> Column:
-    """The title in lower case, blanks collapsed, without the site's name at either end."""
-    names = "|".join(sites)
-    t = F.lower(F.trim(F.regexp_replace(title, r"[\s\u00a0\u2000-\u200b\u202f\u3000]+", " ")))
-    t = F.regexp_replace(F.replace(F.replace(t, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), r"</?(?:b|i|u|em|strong|span|p|h[1-6]|a|font)>", "")
-    return F.trim(F.regexp_replace(t, rf"\s*[|–—:·-]\s*(?:the )?(?:{names})(?:\.example)?\s*$|^(?:the )?(?:{names})(?:\.example)?\s*[|–—:·-]\s+", ""))
-
-
 def trusted(field: str, text: Column) -> Column:
     """Whether a passage matches a trusted form."""
     forms = MARKED_FORMS + (FILLER_FORMS if field != "piece" else []) + (PAGE_FORMS if field == "title" else [])
     return text.rlike("|".join(f"(?:{f})" for f in forms))
 
 
-def _context(df: DataFrame) -> Column:
-    """Whether the page's address names anything that its title names: y or n.
+def _features(field: str, text: Column, context: Column | None = None) -> Column:
+    """Hashed features of a passage: its words, their first letters, pairs of neighbours, marks, and its context.
 
-    The address is `rollup_key` after its kind; `?` where `df` has no such column, the key is null or has no word.
+    Of a piece, what it names and its marks of two count: a single mark may enclose anything.
     """
-    named = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"\p{L}{4,}"), 0)
-    if "rollup_key" not in df.columns:
-        return F.lit("?")
-    address = named(F.regexp_replace("rollup_key", r"^[^:]*:", ""))
-    return F.when(F.size(address) > 0, F.when(F.arrays_overlap(named("title"), address), F.lit("y")).otherwise(F.lit("n"))).otherwise(F.lit("?"))
 
+    def bucket(kind: str, *parts: Column) -> Column:
+        return F.pmod(F.xxhash64(F.lit(f"{field} {kind}"), *parts), F.lit(BUCKETS)).cast("int")
 
-def _features(field: str, text: Column, context: Column | None = None) -> Column:
-    """Hashed features of a passage: its words, their first letters, pairs of neighbours, marks, and its context."""
+    if field == "piece":
+        words = F.regexp_extract_all(text, F.lit(r"\p{L}{2,}"), 0)
+        marks = F.regexp_extract_all(text, F.lit(r"[^\p{L}\p{N}\s.,:;!?’'-]{2}|\p{N}"), 0)
+        parts = [F.transform(words, lambda w: bucket("w", w)), F.transform(words, lambda w: bucket("p", F.left(w, F.lit(4)))), F.transform(marks, lambda m: bucket("m", m)), F.array(bucket("any"))]
+        return F.array_distinct(F.concat(*parts))
     words = F.regexp_extract_all(text, F.lit(r"[\p{L}’']+|\p{N}|[^\p{L}\p{N}\s]+"), 0)
-    pairs = F.zip_with(words, F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat(F.lit("b "), a, F.lit(" "), F.coalesce(b, F.lit(""))))
-    starts = F.transform(F.filter(words, lambda w: F.length(w) > 4), lambda w: F.concat(F.lit("p "), F.left(w, F.lit(4))))
-    marks = F.transform(F.regexp_extract_all(text, F.lit(r"[^\p{L}\p{N}\s.,:;!?’'-]{1,2}"), 0), lambda m: F.concat(F.lit("m "), m))
-    extra = [F.concat(F.lit("own "), F.lit("?") if context is None else context)]
-    if field == "piece":  # what is named, and marks of two: a single mark may enclose anything
-        named, double = F.regexp_extract_all(text, F.lit(r"\p{L}{2,}"), 0), F.regexp_extract_all(text, F.lit(r"[^\p{L}\p{N}\s.,:;!?’'-]{2}|\p{N}"), 0)
-        starts, marks, words, pairs, extra = F.transform(named, lambda w: F.concat(F.lit("p "), F.left(w, F.lit(4)))), double, named, F.array(), [F.lit("any")]
-    return F.transform(F.array_distinct(F.concat(words, pairs, starts, marks, F.array(*extra))), lambda w: F.pmod(F.xxhash64(F.concat(F.lit(f"{field} "), w)), F.lit(BUCKETS)).cast("int"))
+    following = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
+    marks = F.regexp_extract_all(text, F.lit(r"[^\p{L}\p{N}\s.,:;!?’'-]{1,2}"), 0)
+    parts = [
+        F.transform(words, lambda w: bucket("w", w)),
+        F.transform(F.filter(words, lambda w: F.length(w) > 4), lambda w: bucket("p", F.left(w, F.lit(4)))),
+        F.zip_with(words, following, lambda a, b: bucket("b", a, b)),
+        F.transform(marks, lambda m: bucket("m", m)),
+        F.array(bucket("own", F.lit("?") if context is None else context)),
+    ]
+    return F.array_distinct(F.concat(*parts))
+
+
+def _plain_titles(rows: DataFrame, sites: tuple[str, ...] = SITE_NAMES) -> DataFrame:
+    """`rows` with `p_title`: in lower case, blanks collapsed, without simple tags and the site's name at either end.
+
+    Each step is computed once a row, and what few titles need is done for those only.
+    """
+    names = "|".join(sites)
+    rows = computed(rows, {"p_first": F.lower(F.trim(F.regexp_replace(filled("title"), r"[\s\u00a0\u2000-\u200b\u202f\u3000]+", " ")))})
+    unescaped = F.replace(F.replace("p_first", F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">"))
+    marked = F.contains("p_first", F.lit("<")) | F.contains("p_first", F.lit("&"))
+    rows = computed(rows, {"p_raw": F.when(marked, F.regexp_replace(unescaped, r"</?(?:b|i|u|em|strong|span|p|h[1-6]|a|font)>", "")).otherwise(F.col("p_first"))})
+    named = F.trim(F.regexp_replace("p_raw", rf"\s*[|–—:·-]\s*(?:the )?(?:{names})(?:\.example)?\s*$|^(?:the )?(?:{names})(?:\.example)?\s*[|–—:·-]\s+", ""))
+    has_name = F.lit(False)
+    for site in sites:
+        has_name = has_name | F.contains("p_raw", F.lit(site))
+    return computed(rows, {"p_title": F.when(has_name, named).otherwise(F.trim("p_raw"))})
 
 
 def passages(rows: DataFrame) -> DataFrame:
-    """`rows` with its passages, null where blank: p_title, p_piece (what a title has between marks), p_status, p_error; and p_context."""
-    rows = computed(rows, {"p_title": plain_title(filled("title")), "p_status": F.lower(F.trim(filled("http_status"))), "p_error": F.lower(F.trim(filled("error"))), "p_context": _context(rows)})
-    pieces = F.array_join(F.regexp_extract_all("p_title", F.lit(PIECES), 0), " ")
-    return rows.withColumn("p_piece", F.when(pieces != "", pieces))
+    """`rows` with its passages, null where blank: p_title, p_piece (what a title has between marks), p_status, p_error; and
+    p_context: whether the page's address names anything that its title names, y or n.
+
+    The address is `rollup_key` after its kind; `?` where there is no such column, the key is null or has no word.
+    """
+    out = _plain_titles(rows)
+    own = F.lit("?")
+    if "rollup_key" in rows.columns:
+        words = lambda c: F.filter(F.split(c, r"[^\p{L}]+"), lambda w: F.length(w) >= 4)
+        out = computed(out, {"p_words": words("p_raw"), "p_address": words(F.lower(F.regexp_replace("rollup_key", r"^[^:]*:", "")))})
+        own = F.when(F.size("p_address") > 0, F.when(F.arrays_overlap("p_words", "p_address"), F.lit("y")).otherwise(F.lit("n"))).otherwise(own)
+    pieces = F.when(F.col("p_title").rlike(r"[\[{<%]"), F.array_join(F.regexp_extract_all("p_title", F.lit(PIECES), 0), " "))
+    out = computed(out, {"p_status": F.lower(F.trim(filled("http_status"))), "p_error": F.lower(F.trim(filled("error"))), "p_context": own, "p_piece": F.when(pieces != "", pieces)})
+    return out.select(*rows.columns, "p_title", "p_piece", "p_status", "p_error", "p_context")
 
 
 FIELDS = ("title", "piece", "status", "error")
