@@ -49,15 +49,17 @@ def elect(long: DataFrame, group: list[str], fields: list[str], absent: Column |
     return picked if absent is None else picked.select(*group, *[F.coalesce(f, absent).alias(f) for f in fields])
 
 
-def weighted_votes(long: DataFrame, group: list[str], half_life: float = HALF_LIFE_DAYS) -> DataFrame:
+def weighted_votes(long: DataFrame, group: list[str], half_life: float = HALF_LIFE_DAYS, rows_only: bool = False) -> DataFrame:
     """Long rows (`group`, field, value, vote) of one vote per normalised value: the sum of trust times recency decay.
 
     `long` is as `unpivot` gives it. Values that differ in letter case and blanks only are one; the spelling of the
     strongest single vote stands for it. The vote is a struct (total, best), best being the strongest single vote with its
-    tie and the smallest row, so that ties are settled the same way every time.
+    tie and the smallest row, so that ties are settled the same way every time. With `rows_only` the values are rows, which
+    need no normalising.
     """
     weight = (F.col("trust") * F.pow(F.lit(2.0), -F.greatest(F.col("age_days"), F.lit(0.0)) / F.lit(half_life))).cast(_SUM)
-    own = long.select(*group, "field", "value", F.lower(F.regexp_replace(strip_blank(F.col("value")), r"\s+", " ")).alias("form"), F.struct(weight.alias("weight"), "tie", (-F.col("row")).alias("first")).alias("best"))
+    form = F.col("value") if rows_only else F.lower(F.regexp_replace(strip_blank(F.col("value")), r"\s+", " "))
+    own = long.select(*group, "field", "value", form.alias("form"), F.struct(weight.alias("weight"), "tie", (-F.col("row")).alias("first")).alias("best"))
     summed = own.groupBy(*group, "field", "form").agg(F.sum("best.weight").cast(_SUM).alias("total"), F.max_by("value", "best").alias("value"), F.max("best").alias("best"))
     return summed.select(*group, "field", "value", F.struct("total", "best").alias("vote"))
 
@@ -98,7 +100,7 @@ def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     instant = F.coalesce(stated_instant(parsed), in_utc(F.col("t_local"), "UTC"), F.try_to_timestamp("t_date", F.lit("yyyy[-MM[-dd]]"))).cast("timestamp")
     keyed = parsed.select(_short(spelling_key(F.col("rollup_key"))).alias("page_rollup"), "seq", F.when(F.col("ok"), LEVEL).otherwise(1.0).alias("level"), _age(instant).alias("age"))
     long = unpivot(keyed, ["page_rollup"], "seq", {"title_seq": (F.lit(True), F.col("seq"), F.col("level"), F.col("age"), F.lit(0))})
-    return elect(weighted_votes(long, ["page_rollup"], ORDER_HALF_LIFE), ["page_rollup"], ["title_seq"])
+    return elect(weighted_votes(long, ["page_rollup"], ORDER_HALF_LIFE, rows_only=True), ["page_rollup"], ["title_seq"])
 
 
 def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +121,7 @@ def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     group = ["page_rollup", "page_key"]
     pages = _pages(spark, sf_dir).withColumns({c: _short(c) for c in group})
-    votes = weighted_votes(unpivot(pages, group, "seq", fields), group, ORDER_HALF_LIFE)
+    votes = weighted_votes(unpivot(pages, group, "seq", fields), group, ORDER_HALF_LIFE, rows_only=True)
     return elect(votes, group, list(fields), also=[F.count_if(F.col("field") == "first_seq").alias("rows")]).filter("rows > 1").drop("rows")
 
 
