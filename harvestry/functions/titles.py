@@ -45,7 +45,7 @@ def joined_names(names: Column) -> Column:
 def title_cased(text: Column) -> Column:
     """Every letter after a non-letter capital, the others small."""
     letters = F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+|\P{L}+)"), 1)
-    return F.array_join(F.transform(letters, lambda w: F.concat(F.upper(w.substr(1, 1)), w.substr(2, 10_000))), "")
+    return F.array_join(F.transform(letters, lambda w: F.concat(F.upper(w.substr(1, 1)), w.substr(F.lit(2), F.length(w)))), "")
 
 
 #: Roles and dashes in front of a credit, and what stands between credits.
@@ -80,7 +80,7 @@ def last_segment_title(url_path: Column) -> Column:
     """A title made from the last segment of a path, without its ending."""
     segment = F.regexp_replace(F.regexp_extract(url_path, r"([^/]+)/*$", 1), r"\.html?$", "")
     words = F.lower(F.regexp_replace(segment, r"[-_]+", " "))
-    return F.concat(F.upper(words.substr(1, 1)), words.substr(2, 10_000))
+    return F.concat(F.upper(words.substr(1, 1)), words.substr(F.lit(2), F.length(words)))
 
 
 def drilldown_suffix(rollup_key: Column) -> Column:
@@ -91,7 +91,7 @@ def drilldown_suffix(rollup_key: Column) -> Column:
 
 def words_of_slug(slug: Column, acronyms: tuple[str, ...] = ("nba", "nfl", "mlb", "us", "uk", "gop")) -> Column:
     parts = F.filter(F.split(F.lower(slug), "[-_]+"), lambda w: w != "")
-    return F.array_join(F.transform(parts, lambda w: F.when(w.isin(*acronyms), F.upper(w)).otherwise(F.concat(F.upper(w.substr(1, 1)), w.substr(2, 1000)))), " ")
+    return F.array_join(F.transform(parts, lambda w: F.when(w.isin(*acronyms), F.upper(w)).otherwise(F.concat(F.upper(w.substr(1, 1)), w.substr(F.lit(2), F.length(w))))), " ")
 
 
 def identifier(*parts: Column) -> Column:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import computed
 from .text import strip_blank
 
 _PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
@@ -161,18 +162,22 @@ SITE_RULES = (
 )
 
 
-def classified(url: Column, rules: tuple[Rule, ...] = SITE_RULES) -> Column:
-    """struct(kind, rollup_key) by the first rule that fits; `other` and the path where none does."""
-    place = F.struct(bare_host(url).alias("h"), F.regexp_replace(path(url), "/{2,}", "/").alias("p"))
-    return let(place, lambda at: _by_rules(at["h"], at["p"], rules))
-
-
-def _by_rules(h: Column, p: Column, rules: tuple[Rule, ...]) -> Column:
-    found = F.struct(F.lit("other").alias("kind"), F.concat(F.lit("other:"), p).alias("rollup_key"))
-    for rule in reversed(rules):
-        groups = rule.path.count("(") - rule.path.count("(?")
-        pieces = [F.regexp_extract(p, rule.path, g) for g in range(1, groups + 1)]
-        named = pieces if rule.kind == "tag" else [F.array_join(F.transform(F.split(x, "/"), slug), "/") for x in pieces]
-        key = F.concat(F.lit(rule.prefix), F.concat_ws("/", *named))
-        found = F.when(h.rlike(f"^{rule.host}$") & p.rlike(rule.path), F.struct(F.lit(rule.kind).alias("kind"), key.alias("rollup_key"))).otherwise(found)
-    return found
+def classified(df: DataFrame, url: Column, name: str, rules: tuple[Rule, ...] = SITE_RULES) -> DataFrame:
+    """`df` with `name`: struct(kind, rollup_key) by the first rule that fits `url`; `other` and the path where none does.
+
+    Host and path are cut once a row, then the rule is chosen, and only what that rule names is taken out of the path.
+    Other columns stay; their names must not begin with `c_`.
+    """
+    rows = computed(df, {"c_host": bare_host(url), "c_path": F.regexp_replace(path(url), "/{2,}", "/")})
+    host_of, path_of = F.col("c_host"), F.col("c_path")
+    rows = computed(rows, {"c_rule": F.coalesce(*[F.when(host_of.rlike(f"^{r.host}$") & path_of.rlike(r.path), F.lit(k)) for k, r in enumerate(rules)], F.lit(-1))})
+    pieces, kind, prefix = F.array(path_of), F.lit("other"), F.lit("other:")
+    for k, rule in enumerate(rules):
+        chosen, groups = F.col("c_rule") == k, rule.path.count("(") - rule.path.count("(?")
+        pieces = F.when(chosen, F.array(*[F.regexp_extract(path_of, rule.path, g) for g in range(1, groups + 1)])).otherwise(pieces)
+        kind, prefix = F.when(chosen, F.lit(rule.kind)).otherwise(kind), F.when(chosen, F.lit(rule.prefix)).otherwise(prefix)
+    rows = computed(rows, {"c_pieces": pieces, "c_kind": kind, "c_prefix": prefix})
+    named = F.transform("c_pieces", lambda x: F.array_join(F.transform(F.split(x, "/"), slug), "/"))
+    named = F.when(F.col("c_kind").isin("tag", "other"), F.col("c_pieces")).otherwise(named)
+    key = F.concat(F.col("c_prefix"), F.concat_ws("/", named))
+    return rows.select(*df.columns, F.struct(F.col("c_kind").alias("kind"), F.when(path_of.isNotNull(), key).alias("rollup_key")).alias(name))

@@ -159,15 +159,25 @@ def names_udf(compounds: list[tuple[str, str]]):
     return names
 
 
+#: Most pairs of words around `and` that a dimension table of names may have.
+MOST_COMPOUNDS = 100_000
+
+
 def may_hold_several(text: Column) -> Column:
     return text.rlike(r"[;|/,\t\n\r•·+&]|(?i)\s(?:" + "|".join(WORDS) + r")\s")
 
 
 def compound_pairs(names: DataFrame, name: str) -> list[tuple[str, str]]:
-    """The words around `and` inside the names of a dimension table (of bounded size), as (before, after)."""
+    """The words around `and` inside the names of a dimension table, as (before, after).
+
+    The table must be of bounded size: more than MOST_COMPOUNDS such pairs are an error, since every task gets them all.
+    """
     around = F.regexp_extract_all(F.lower(name), F.lit(r"(\w+) (?:and|with|&) \w+"), 1), F.regexp_extract_all(F.lower(name), F.lit(r"\w+ (?:and|with|&) (\w+)"), 1)
     pairs = names.select(F.explode(F.arrays_zip(around[0].alias("a"), around[1].alias("b"))).alias("p")).select("p.a", "p.b").distinct()
-    return sorted((r.a, r.b) for r in pairs.collect())
+    found = pairs.limit(MOST_COMPOUNDS + 1).collect()
+    if len(found) > MOST_COMPOUNDS:
+        raise ValueError(f"more than {MOST_COMPOUNDS} names with a joining word; the names are no dimension table")
+    return sorted((r.a, r.b) for r in found)
 
 
 def unpack(df: DataFrame, column: str, compounds: list[tuple[str, str]], least: int = 1) -> DataFrame:

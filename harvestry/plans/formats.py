@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import new_folder, table
 from ..sources import formats
 from ..streaming.jobs import keep_index, windowed_counts
-from ..session import table
 
 #: Rows of a table that make one landed document.
 ROWS = 200
@@ -100,17 +97,13 @@ def e1_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
-def _folder(spark: SparkSession) -> str:
-    """A new folder in the shared checkpoint folder; one of our own only where none is set."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return f"{shared}/stream-{uuid.uuid4().hex}"
-
-
 def e2_streamed_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{sf_dir}/events.parquet"
-    events = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 4).parquet(f"{path}*")
+    """The index of all events, streamed as several files in several batches that merge."""
+    landed = new_folder(spark)
+    table(spark, sf_dir, "events").withColumn("landed", F.col("event_type")).write.partitionBy("landed").parquet(landed)
+    events = spark.readStream.schema(spark.read.parquet(landed).schema).option("maxFilesPerTrigger", 2).parquet(landed)
     source = events.select(F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("key"), F.date_format("ts", "yyyyMMdd").alias("ts"), "event_id")
-    return keep_index(spark, source, _folder(spark), "key", "ts", "event_id")
+    return keep_index(spark, source, new_folder(spark), "key", "ts", "event_id")
 
 
 _TEXT = "regexp_replace({}, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g')"

@@ -21,7 +21,7 @@ LEGACY = "article:wp/"
 
 
 def _key(df: DataFrame, url: str, name: str = "key") -> DataFrame:
-    return computed(df, {name: urls.classified(strip_blank(F.col(url)))["rollup_key"]})
+    return urls.classified(df, strip_blank(F.col(url)), "c").select(*df.columns, F.col("c.rollup_key").alias(name))
 
 
 def j2_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:

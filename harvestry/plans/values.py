@@ -31,7 +31,7 @@ def u7_surt_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def u9_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = computed(table(spark, sf_dir, "url_records").select("seq", "url"), {"page": urls.classified(strip_blank(F.col("url")))})
+    rows = urls.classified(table(spark, sf_dir, "url_records").select("seq", "url"), strip_blank(F.col("url")), "page")
     return rows.select("seq", F.col("page.kind").alias("kind"), F.col("page.rollup_key").alias("rollup_key"))
 
 

@@ -48,9 +48,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A new path in the shared folder."""
+    return f"{_shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, by: list[str]) -> DataFrame:
     """`df` written to the shared folder, in directories `by` these columns, and read again."""
-    folder = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    folder = new_folder(df.sparkSession)
     df.write.partitionBy(*by).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 

@@ -35,9 +35,11 @@ def resume_key(text: Column) -> Column:
 
 
 def sitemap_urls(sitemaps: DataFrame, xml: str) -> DataFrame:
-    """(…, loc): the addresses of sitemaps and sitemap indexes, whatever their namespace; broken XML must be left out before."""
+    """(…, loc): the addresses of sitemaps and sitemap indexes, whatever their namespace; broken XML has none."""
     kept = [c for c in sitemaps.columns if c != xml]
-    return sitemaps.select(*kept, F.explode(F.xpath(F.col(xml), F.lit("//*[local-name()='loc']/text()"))).alias("loc")).withColumn("loc", F.trim("loc"))
+    read = F.from_xml(F.col(xml), "url array<struct<loc:string>>, sitemap array<struct<loc:string>>", {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
+    entries = F.concat(*[F.coalesce(read[c]["loc"], F.array().cast("array<string>")) for c in ("url", "sitemap")])
+    return sitemaps.select(*kept, F.explode(entries).alias("loc")).withColumn("loc", F.trim("loc")).filter("loc <> ''")
 
 
 def memento_times(maps: DataFrame, text: str) -> DataFrame:

@@ -33,17 +33,13 @@ def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], fol
 def keep_index(spark: SparkSession, source: DataFrame, folder: str, key: str, ts: str, seq: str) -> DataFrame:
     """The index of all observations that `source`, a stream, has brought so far.
 
-    Every batch is reduced to partials and merged with the version before into a new version, so a batch that is repeated
-    after a failure overwrites its own version and counts once.
+    Every batch is reduced to partials of its own, which a repeat after a failure overwrites, so it counts once. Nothing
+    written before is read or written again; the partials of a key are merged when the index is read.
     """
 
-    def merge(batch: DataFrame, number: int) -> None:
-        new = partial_index(batch, key, ts, seq)
-        if number:
-            new = merged_partials(spark.read.parquet(f"{folder}/version={number - 1}").unionByName(new), key)
-        new.write.mode("overwrite").parquet(f"{folder}/version={number}")
+    def keep(batch: DataFrame, number: int) -> None:
+        partial_index(batch, key, ts, seq).write.mode("overwrite").parquet(f"{folder}/batch={number}")
 
-    run_available(source, merge, f"{folder}/progress")
-    versions = spark.read.option("basePath", folder).parquet(f"{folder}/version=*")
-    latest = versions.agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{folder}/version={latest}").select(key, "first_ts", F.col("latest.ts").alias("last_ts"), (-F.col("latest.first")).alias(f"latest_{seq}"), "n")
+    run_available(source, keep, f"{folder}/progress")
+    partials = spark.read.option("basePath", folder).parquet(f"{folder}/batch=*")
+    return merged_partials(partials, key).select(key, "first_ts", F.col("latest.ts").alias("last_ts"), (-F.col("latest.first")).alias(f"latest_{seq}"), "n")
