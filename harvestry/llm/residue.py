@@ -11,7 +11,6 @@ fixed size (hashed features), so a round is one aggregation into at most BUCKETS
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -149,13 +148,21 @@ def learn(rows: DataFrame, rounds: int = ROUNDS) -> Model:
     Passages are counted first, so that a title with a third of all rows is one passage of that weight. Between rounds
     only the model, of BUCKETS pairs of sums at most, comes to the driver.
     """
-    parts = []
-    for field in FIELDS:
-        text, context = F.col(f"p_{field}"), F.col("p_context") if field == "title" else F.lit("?")
-        counted = rows.filter(text.isNotNull() & (text != "")).groupBy(text.alias("text"), context.alias("context")).agg((F.count("*").cast("double") if field == "piece" else F.log1p(F.count("*"))).alias("weight"))
-        features = _features(field, F.col("text"), F.col("context") if field == "title" else None)
-        parts.append(counted.select(F.lit(field).alias("field"), features.alias("features"), "weight", trusted(field, F.col("text")).alias("trusted"), _unlikely(field, F.col("text"), F.col("context")).alias("unlikely"), F.when((F.col("context") == "n") | F.lit(field == "piece"), F.lit(0.5)).otherwise(F.lit(0.0)).alias("doubt")))
-    known = checkpoint(reduce(DataFrame.unionByName, parts))
+    offers = [F.struct(F.lit(f).alias("field"), F.col(f"p_{f}").alias("text"), (F.col("p_context") if f == "title" else F.lit("?")).alias("context")) for f in FIELDS]
+    long = rows.select(F.inline(F.filter(F.array(*offers), lambda o: o["text"] != "")))
+    counted = long.groupBy("field", "text", "context").agg(F.count("*").cast("double").alias("n"))
+    text, context = F.col("text"), F.col("context")
+    of_field = lambda made: F.coalesce(*[F.when(F.col("field") == f, made(f)) for f in FIELDS])
+    known = checkpoint(
+        counted.select(
+            "field",
+            of_field(lambda f: _features(f, text, context if f == "title" else None)).alias("features"),
+            F.when(F.col("field") == "piece", F.col("n")).otherwise(F.log1p("n")).alias("weight"),
+            of_field(lambda f: trusted(f, text)).alias("trusted"),
+            of_field(lambda f: _unlikely(f, text, context)).alias("unlikely"),
+            F.when((context == "n") | (F.col("field") == "piece"), F.lit(0.5)).otherwise(F.lit(0.0)).alias("doubt"),
+        )
+    )
     model = None
     for _ in range(rounds):
         if model is None:
