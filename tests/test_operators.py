@@ -192,3 +192,20 @@ def test_repairs_mend_and_never_spoil(spark):
     assert [r[0] for r in df.select(fill_blanks(F.col("v"), F.col("n"))).collect()] == ["x", "x", " ", "a", None]
     dates = spark.createDataFrame([("2016", "2016-05"), ("2016-05", "2016"), (None, "2016"), ("2016", None), ("2016", "2017")], "v string, n string")
     assert [r[0] for r in dates.select(take_longer(F.col("v"), F.col("n"))).collect()] == ["2016-05", "2016-05", "2016", "2016", "2016"]
+
+
+def test_slugs_fold_by_an_explicit_table(spark):
+    cases = {"Émilie Zoë O’Hara": ("emilie-zoe-ohara", "emilie-zoe-o-hara"), "A & B / C--D": ("a-b-c-d", "a-b-c-d"), "Nicolás Peña": ("nicolas-pena", "nicolas-pena"), "ÀÉÎÕÜ ç": ("aeiou-c", "aeiou-c"), "漢字 x": ("x", "x"), "": ("", ""), None: ("", "")}
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    assert {r.t: (r.a, r.b) for r in df.select("t", titles.slugify(F.col("t")).alias("a"), titles.slugify(F.col("t"), True).alias("b")).collect()} == cases
+
+
+def test_addresses_are_classified_by_the_first_rule(spark):
+    cases = {
+        "https://www.tallyboard.example/2014/05/Some--Thing.html": ("article", "article:wp/2014/05/Some-Thing"), "http://projects.tallyboard.example/a%20b/c/": ("project", "project:a-b/c"), "https://tallyboard.example/tag/x--y/": ("tag", "tag:/tag/x--y/"),
+        "https://tallyboard.example": ("homepage", "site:/"), "https://other.example//x": ("other", "other:/x"), None: ("other", None),
+    }
+    df = spark.createDataFrame([(u, 1) for u in cases], "u string, page int")
+    out = urls.classified(df, F.col("u"), "found")
+    assert out.columns == ["u", "page", "found"]
+    assert {r.u: tuple(r.found) for r in out.collect()} == cases
